@@ -79,13 +79,10 @@ def to_uuid(c) -> Column:
     hex32 = F.regexp_replace(stripped, "-", "")
     shaped = stripped.rlike("^[0-9a-f]{32}$|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
     digest = F.sha1(F.concat(F.unhex(F.lit(DNS_NAMESPACE_HEX)), F.encode(raw, "UTF-8")))
-    # byte 6: high nibble := 5 ; byte 8: top two bits := 10
-    b6 = F.conv(F.substring(digest, 13, 2), 16, 10).cast("int")
-    b8 = F.conv(F.substring(digest, 17, 2), 16, 10).cast("int")
-    v6 = F.lpad(F.lower(F.hex(F.lit(0x50) + F.pmod(b6, F.lit(16)))), 2, "0")
-    v8 = F.lpad(F.lower(F.hex(F.lit(0x80) + F.pmod(b8, F.lit(64)))), 2, "0")
-    v5hex = F.concat(F.substring(digest, 1, 12), v6, F.substring(digest, 15, 2), v8,
-                     F.substring(digest, 19, 14))
+    # version nibble (hex digit 13) := 5; variant (hex digit 17) := 10xx
+    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    v5hex = F.concat(F.substring(digest, 1, 12), F.lit("5"), F.substring(digest, 14, 3), variant,
+                     F.substring(digest, 18, 15))
     h = F.when(shaped, hex32).otherwise(v5hex)
     return F.when(raw.isNull(), F.lit(None).cast("string")).otherwise(F.concat_ws(
         "-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),

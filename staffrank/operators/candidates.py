@@ -119,11 +119,12 @@ def fallback_top(shifts: DataFrame, users: DataFrame, events: DataFrame, limit:
 
 
 def candidate_cascade(shifts: DataFrame, users: DataFrame, events: DataFrame, activity: DataFrame,
-                      limit: int = 300) -> DataFrame:
-    """Per shift the first non-empty source of C4, C5, C6; tagged with ``source``."""
+                      limit: int = 300, store_limit: int = 10) -> DataFrame:
+    """Per shift the first non-empty source of C4 (``limit``), C5 and C6 (``store_limit``,
+    the request size); tagged with ``source``."""
     c4 = candidates(shifts, activity, limit).withColumn("source", F.lit("location_cache"))
-    c5 = eligible_top(shifts, users, events, limit).withColumn("source", F.lit("eligible"))
-    c6 = fallback_top(shifts, users, events, limit).withColumn("source", F.lit("global"))
+    c5 = eligible_top(shifts, users, events, store_limit).withColumn("source", F.lit("eligible"))
+    c6 = fallback_top(shifts, users, events, store_limit).withColumn("source", F.lit("global"))
     have4 = c4.select("shift_id").distinct()
     c5 = c5.join(have4, "shift_id", "left_anti")
     have45 = have4.unionByName(c5.select("shift_id").distinct())

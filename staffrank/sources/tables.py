@@ -205,9 +205,10 @@ class Domain:
     users: DataFrame
     shifts: DataFrame
     events: DataFrame
+    sf_dir: str = ""
 
 
 def testdata_domain(spark: SparkSession, sf_dir: str) -> Domain:
     ensure_utc(spark)
     return Domain(testdata_users(spark, sf_dir), testdata_shifts(spark, sf_dir),
-                  testdata_events(spark, sf_dir))
+                  testdata_events(spark, sf_dir), sf_dir)
