@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staffrank.operators.select import smallest_k
+
 
 def cancelled_shifts(events: DataFrame) -> DataFrame:
     """shifts with any SYSTEM_CANCEL."""
@@ -36,16 +38,27 @@ def sample_key(seed: int = 42):
 
 
 def cap_negatives(neg: DataFrame, pos: DataFrame, ratio: int = 5, seed: int = 42) -> DataFrame:
-    """at most ``ratio`` x positives negatives, reproducible seeded choice.
-
-    The cut is a global top-k on the hash key: a single ``limit`` (top-k per partition, then one
-    merge of k rows per partition); k comes from one scalar count.
-    """
+    """at most ``ratio`` x positives negatives, a reproducible seeded choice: the pairs with
+    the smallest ``md5(user|shift|seed)`` keys (exact distributed selection, no single task)."""
     k = pos.count() * ratio
     if k <= 0:
         return neg.limit(0)
-    return neg.withColumn("_h", sample_key(seed)).orderBy("_h", "user_id", "shift_id").limit(
-        int(k)).drop("_h")
+    keyed = neg.withColumn("_h", sample_key(seed))
+    return smallest_k(keyed, "_h", int(k), ties=["user_id", "shift_id"]).drop("_h")
+
+
+def stratified_split(frame: DataFrame, test_ratio: float = 0.15, seed: int = 42) -> DataFrame:
+    """per label, the ceil(test_ratio * n_label) pairs with the smallest hash go to 'test',
+    the rest to 'train' (adds ``side``)."""
+    keyed = frame.withColumn("_h", sample_key(seed))
+    sizes = keyed.groupBy("label").agg(F.count(F.lit(1)).alias("_nl"))
+    keyed = keyed.join(F.broadcast(sizes), "label")  # one row per label
+    k = F.ceil(F.col("_nl") * F.lit(test_ratio)).cast("bigint")
+    test = smallest_k(keyed, "_h", k, ties=["user_id", "shift_id"], group=["label"]).select(
+        "user_id", "shift_id", F.lit(True).alias("_test"))
+    return (keyed.join(test, ["user_id", "shift_id"], "left")
+            .withColumn("side", F.when(F.col("_test"), "test").otherwise("train"))
+            .drop("_h", "_nl", "_test"))
 
 
 def labelled_pairs(events: DataFrame, shifts: DataFrame, ratio: int = 5, seed: int = 42) -> DataFrame:

@@ -195,6 +195,12 @@ def d11(d):
     return D.user_profile(d.users, D.user_history(tr, d.shifts))
 
 
+def feature_sql(pairs: str = "cands", extra: list[str] | None = None) -> str:
+    """CTEs building ``feat``: the 26 features for the pair table ``pairs`` (needs evs, prof, ph)."""
+    cols = "".join(f"p.{c}, " for c in (extra if extra is not None else ["cand_rank"]))
+    return _FEATURE_SQL.replace("{pairs}", pairs).replace("{extra}", cols)
+
+
 _FEATURE_SQL = """
 uloc AS (SELECT user_id, shift_location AS loc, count(*) AS n FROM evs
          WHERE interaction = 'APPLY' AND user_id IS NOT NULL AND shift_location IS NOT NULL GROUP BY ALL),
@@ -208,7 +214,7 @@ emp AS (SELECT employer_id, CASE WHEN a = 0 THEN NULL ELSE a / greatest(1, n) EN
           SELECT employer_id, count(*) FILTER (WHERE interaction = 'APPLY') AS a, count(*) AS n
           FROM evs WHERE employer_id IS NOT NULL GROUP BY employer_id) q),
 feat AS (
-  SELECT p.shift_id, p.user_id, p.cand_rank, pr.user_id IS NOT NULL AS known_user,
+  SELECT p.shift_id, p.user_id, {extra}pr.user_id IS NOT NULL AS known_user,
     COALESCE(pr.apply_rate, 0.0) AS user_apply_rate,
     COALESCE(pr.finish_rate, 0.0) AS user_finish_rate,
     COALESCE(pr.cancel_rate, 0.0) AS user_cancel_rate,
@@ -238,7 +244,7 @@ feat AS (
     CASE WHEN ph.last_apply_ts IS NOT NULL AND s.start_at IS NOT NULL
          THEN greatest(0.0, (epoch(s.start_at) - epoch(ph.last_apply_ts)) / 86400.0)
          ELSE 9999.0 END AS user_shift_apply_recency_days
-  FROM cands p
+  FROM {pairs} p
   LEFT JOIN shifts s ON s.id = p.shift_id
   LEFT JOIN prof pr ON pr.user_id = p.user_id
   LEFT JOIN uloc ul ON ul.user_id = p.user_id AND ul.loc = s.location_id
@@ -249,7 +255,7 @@ feat AS (
   LEFT JOIN ph ON ph.user_id = p.user_id AND ph.shift_id = p.shift_id)"""
 
 FEATURE_SQL_BLOCKS = (ADAPTER, SPLIT, hist_sql("tr_e"), _PROFILE_SQL, _PAIR_SQL.format(src="tr_e"),
-                      activity_sql("tr_e"), candidates_sql("va_s"), _FEATURE_SQL)
+                      activity_sql("tr_e"), candidates_sql("va_s"), feature_sql())
 
 
 @register("e1_pair_features", with_(*FEATURE_SQL_BLOCKS) + f"""
