@@ -71,3 +71,8 @@ def rank_score(top: DataFrame, rank_col: str = "rank") -> DataFrame:
     """H5: score = 1 - (rank - 1) / max(1, n), n = length of the shift's returned list."""
     n = F.count(F.lit(1)).over(Window.partitionBy("shift_id"))
     return top.withColumn("score", F.lit(1.0) - (F.col(rank_col) - 1) / F.greatest(F.lit(1), n))
+
+
+def heuristic_score(features: DataFrame) -> DataFrame:
+    """A deterministic stand-in score for exact ranking checks: apply rate + location match."""
+    return features.withColumn("score", F.col("user_apply_rate") + F.col("location_match"))

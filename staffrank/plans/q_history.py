@@ -254,8 +254,13 @@ feat AS (
   LEFT JOIN emp em ON em.employer_id = s.employer_id
   LEFT JOIN ph ON ph.user_id = p.user_id AND ph.shift_id = p.shift_id)"""
 
-FEATURE_SQL_BLOCKS = (ADAPTER, SPLIT, hist_sql("tr_e"), _PROFILE_SQL, _PAIR_SQL.format(src="tr_e"),
-                      activity_sql("tr_e"), candidates_sql("va_s"), feature_sql())
+def feature_blocks(split_block: str = SPLIT) -> tuple:
+    """All CTEs up to ``feat`` for the validation candidates of a date split."""
+    return (ADAPTER, split_block, hist_sql("tr_e"), _PROFILE_SQL, _PAIR_SQL.format(src="tr_e"),
+            activity_sql("tr_e"), candidates_sql("va_s"), feature_sql())
+
+
+FEATURE_SQL_BLOCKS = feature_blocks()
 
 
 @register("e1_pair_features", with_(*FEATURE_SQL_BLOCKS) + f"""

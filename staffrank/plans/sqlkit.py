@@ -41,11 +41,14 @@ ev AS (
 
 SPLIT_T = "TIMESTAMP '2024-01-16 00:00:00'"
 
-SPLIT = f"""
-tr_e AS (SELECT * FROM ev WHERE ts <= {SPLIT_T}),
-tr_s AS (SELECT * FROM shifts WHERE start_at <= {SPLIT_T}),
-va_s AS (SELECT * FROM shifts WHERE start_at > {SPLIT_T}),
-va_e AS (SELECT * FROM ev WHERE ts > {SPLIT_T} AND shift_id IN (SELECT id FROM va_s)),
+
+def split_sql(t: str = SPLIT_T) -> str:
+    """CTEs tr_e, tr_s, va_s, va_e, canc, truth for the date split at ``t`` (SQL literal)."""
+    return f"""
+tr_e AS (SELECT * FROM ev WHERE ts <= {t}),
+tr_s AS (SELECT * FROM shifts WHERE start_at <= {t}),
+va_s AS (SELECT * FROM shifts WHERE start_at > {t}),
+va_e AS (SELECT * FROM ev WHERE ts > {t} AND shift_id IN (SELECT id FROM va_s)),
 canc AS (SELECT DISTINCT shift_id FROM ev
          WHERE interaction = 'SYSTEM_CANCEL' AND shift_id IS NOT NULL),
 truth AS (
@@ -55,6 +58,9 @@ truth AS (
     AND e.ts <= s.start_at)"""
 
 
+SPLIT = split_sql()
+
+
 def activity_sql(events_cte: str, name: str = "act") -> str:
     return f"""
 {name} AS (
