@@ -141,3 +141,23 @@ def finished_affinity(pairs: DataFrame, events: DataFrame, shifts: DataFrame) ->
             .join(by_wp, ["user_id", "workplace_id"], "left")
             .withColumn("user_employer_finished", F.coalesce("user_employer_finished", F.lit(0)))
             .withColumn("user_workplace_finished", F.coalesce("user_workplace_finished", F.lit(0))))
+
+
+def baseline_frame(events: DataFrame, shifts: DataFrame, users: DataFrame) -> DataFrame:
+    """F8-F12 assembled as the baseline model's training frame (one row per pair)."""
+    pc = pair_counts(events, shifts)
+    x = user_loo(pc)
+    x = pair_attrs(x, shifts, users)
+    fa = finished_affinity(pc.select("user_id", "shift_id"), events, shifts).drop(
+        "employer_id", "workplace_id")
+    x = x.join(fa, ["user_id", "shift_id"], "left")
+    return x.select(
+        "user_id", "shift_id", "start_at", "capacity", "target", "task_type", "hours", "reward",
+        "location_match", "need_mk_match", "has_mk", "is_strict_location", "need_mk", "id_differential",
+        F.col("n_view").alias("view_cnt"), F.col("n_user_cancel").alias("user_cancel_cnt"),
+        F.col("n_system_cancel").alias("system_cancel_cnt"),
+        F.col("user_views_loo").alias("user_hist_views"),
+        F.col("user_applies_loo").alias("user_hist_applies"),
+        F.col("user_finished_loo").alias("user_hist_finished"),
+        F.coalesce("user_employer_finished", F.lit(0)).alias("user_finished_employer"),
+        F.coalesce("user_workplace_finished", F.lit(0)).alias("user_finished_workplace"))
