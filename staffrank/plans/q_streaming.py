@@ -1 +1,108 @@
-"""placeholder"""
+"""Registered queries: Structured Streaming replays of the event table (K1-K6).
+
+Each query stages the mapped events as a file stream source (one folder per event date),
+runs the streaming job to completion with ``Trigger.AvailableNow`` and returns what the sink
+holds. K1, K2, K5 and K6 must equal their batch twins, so they carry SQL oracles; K3 and K4
+depend on watermark progress and get the rows-only check (their tests compare them with the
+batch queries on the rows the watermark keeps).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from staffrank.plans.q_history import _PAIR_SQL, hist_sql
+from staffrank.plans.registry import register
+from staffrank.plans.sqlkit import ADAPTER, with_
+from staffrank.streaming import jobs as K
+
+_UUID_SQL = ("regexp_full_match(id, '[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}"
+             "-?[0-9a-fA-F]{12}')")
+
+
+def _rekeyed(d):
+    """Events whose even ids carry UUID text (odd numeric ids break the UUID rule)."""
+    h = F.md5("id")
+    uid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
+                      F.substring(h, 17, 4), F.substring(h, 21, 12))
+    return (d.events.withColumn("seq", F.col("id").cast("bigint"))
+            .withColumn("id", F.when(F.col("seq") % 2 == 0, uid).otherwise(F.col("id"))))
+
+
+@register("k1_ingest_events", with_(ADAPTER) + f"""
+SELECT id, CASE WHEN ok THEN 'accepted' ELSE 'dead_letter' END AS sink FROM (
+  SELECT id, COALESCE({_UUID_SQL}, FALSE) AND COALESCE(length(shift_id) > 0, FALSE)
+         AND COALESCE(length(user_id) > 0, FALSE) AND ts IS NOT NULL
+         AND COALESCE(interaction IN ('VIEW','APPLY','FINISHED','USER_CANCEL','SYSTEM_CANCEL'), FALSE) AS ok
+  FROM (SELECT CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN
+          substr(md5(id), 1, 8) || '-' || substr(md5(id), 9, 4) || '-' || substr(md5(id), 13, 4)
+          || '-' || substr(md5(id), 17, 4) || '-' || substr(md5(id), 21, 12) ELSE id END AS id,
+          shift_id, user_id, interaction, ts FROM ev) a) b""")
+def k1(d):
+    spark = d.users.sparkSession
+    ws = K.workspace(spark, "ingest")
+    src = K.stage_events(_rekeyed(d), f"{ws}/source")
+    acc, dead = K.ingest_events(K.read_stream(spark, src), f"{ws}/sink", f"{ws}/checkpoint")
+    a = spark.read.parquet(acc).select("id", F.lit("accepted").alias("sink"))
+    b = spark.read.parquet(dead).select("id", F.lit("dead_letter").alias("sink"))
+    return a.unionByName(b)
+
+
+@register("k2_stream_upsert", with_(ADAPTER) + """,
+rep AS (SELECT CAST(CAST(id AS BIGINT) % 7000 AS VARCHAR) AS id, CAST(id AS BIGINT) AS seq, shift_id,
+               user_id, interaction, ts FROM ev)
+SELECT id, shift_id, user_id, interaction, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM rep) q WHERE rn = 1""")
+def k2(d):
+    """Streaming last-write-wins store over replayed ids (event_id % 7000)."""
+    spark = d.users.sparkSession
+    ws = K.workspace(spark, "upsert")
+    e = (d.events.withColumn("seq", F.col("id").cast("bigint"))
+         .withColumn("id", (F.col("seq") % 7000).cast("string")))
+    src = K.stage_events(e, f"{ws}/source")
+    snap = K.stream_upsert(K.read_stream(spark, src), f"{ws}/store", f"{ws}/checkpoint", ["id"])
+    return snap.select("id", "shift_id", "user_id", "interaction", "ts")
+
+
+@register("k3_dedup_stream")
+def k3(d):
+    """Replayed ids (event_id % 7000) de-duplicated first-wins within 30 days of event time."""
+    spark = d.users.sparkSession
+    ws = K.workspace(spark, "dedup")
+    e = (d.events.withColumn("seq", F.col("id").cast("bigint"))
+         .withColumn("id", (F.col("seq") % 7000).cast("string")))
+    src = K.stage_events(e, f"{ws}/source")
+    out = K.dedup_stream(K.read_stream(spark, src), "30 days", f"{ws}/sink", f"{ws}/checkpoint")
+    return spark.read.parquet(out).select("id", "seq", "shift_id", "user_id", "interaction", "ts")
+
+
+@register("k4_daily_funnel")
+def k4(d):
+    """Daily interaction funnel with a 1-hour late-data bound (closed windows only)."""
+    spark = d.users.sparkSession
+    ws = K.workspace(spark, "funnel")
+    src = K.stage_events(d.events, f"{ws}/source")
+    out = K.daily_funnel(K.read_stream(spark, src), "1 hour", f"{ws}/sink", f"{ws}/checkpoint")
+    return spark.read.parquet(out)
+
+
+@register("k5_running_pair_counts", with_(ADAPTER, _PAIR_SQL.format(src="ev")) + """
+SELECT user_id, shift_id, apply_count, finish_count, cancel_count,
+       strftime(last_apply_ts, '%Y-%m-%d %H:%M:%S.%f') AS last_apply_ts FROM ph""")
+def k5(d):
+    spark = d.users.sparkSession
+    ws = K.workspace(spark, "pairs")
+    src = K.stage_events(d.events, f"{ws}/source")
+    return K.running_pair_counts(K.read_stream(spark, src), f"{ws}/store", f"{ws}/checkpoint")
+
+
+@register("k6_refresh_histories", with_(ADAPTER, hist_sql("ev")) + """
+SELECT user_id, total_applies, total_views, total_finishes, total_cancels, total_events,
+  round(apply_rate, 6) AS apply_rate, round(finish_rate, 6) AS finish_rate,
+  round(cancel_rate, 6) AS cancel_rate, active_days, round(avg_reward, 6) AS avg_reward FROM hist""")
+def k6(d):
+    """User histories refreshed batch by batch from mergeable partials; equals D1 at the end."""
+    spark = d.users.sparkSession
+    ws = K.workspace(spark, "refresh")
+    src = K.stage_events(d.events, f"{ws}/source")
+    return K.refresh_histories(K.read_stream(spark, src), d.shifts, f"{ws}/store", f"{ws}/checkpoint")
