@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffrank.operators.select import smallest_k
+from staffrank.operators.select import flag_smallest, smallest_k
 
 
 def cancelled_shifts(events: DataFrame) -> DataFrame:
@@ -49,16 +49,12 @@ def cap_negatives(neg: DataFrame, pos: DataFrame, ratio: int = 5, seed: int = 42
 
 def stratified_split(frame: DataFrame, test_ratio: float = 0.15, seed: int = 42) -> DataFrame:
     """per label, the ceil(test_ratio * n_label) pairs with the smallest hash go to 'test',
-    the rest to 'train' (adds ``side``)."""
+    the rest to 'train' (adds ``side``). Two passes: a bucket histogram, then the flagging."""
     keyed = frame.withColumn("_h", sample_key(seed))
-    sizes = keyed.groupBy("label").agg(F.count(F.lit(1)).alias("_nl"))
-    keyed = keyed.join(F.broadcast(sizes), "label")  # one row per label
-    k = F.ceil(F.col("_nl") * F.lit(test_ratio)).cast("bigint")
-    test = smallest_k(keyed, "_h", k, ties=["user_id", "shift_id"], group=["label"]).select(
-        "user_id", "shift_id", F.lit(True).alias("_test"))
-    return (keyed.join(test, ["user_id", "shift_id"], "left")
-            .withColumn("side", F.when(F.col("_test"), "test").otherwise("train"))
-            .drop("_h", "_nl", "_test"))
+    flagged = flag_smallest(keyed, "_h", ratio=test_ratio, ties=["user_id", "shift_id"],
+                            group=["label"], out="_test")
+    return (flagged.withColumn("side", F.when(F.col("_test"), "test").otherwise("train"))
+            .drop("_h", "_test"))
 
 
 def labelled_pairs(events: DataFrame, shifts: DataFrame, ratio: int = 5, seed: int = 42) -> DataFrame:
