@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_IT = F.col("interaction")
+def _it():
+    return F.col("interaction")
 
 
 def events_with_shift(events: DataFrame, shifts: DataFrame) -> DataFrame:
@@ -29,12 +30,12 @@ def user_history(events: DataFrame, shifts: DataFrame) -> DataFrame:
     applies, null when all those rewards are unknown).
     """
     ev = events_with_shift(events.where(F.col("user_id").isNotNull()), shifts)
-    is_apply = _IT == "APPLY"
+    is_apply = _it() == "APPLY"
     h = ev.groupBy("user_id").agg(
         F.count_if(is_apply).alias("total_applies"),
-        F.count_if(_IT == "VIEW").alias("total_views"),
-        F.count_if(_IT == "FINISHED").alias("total_finishes"),
-        F.count_if(_IT == "USER_CANCEL").alias("total_cancels"),
+        F.count_if(_it() == "VIEW").alias("total_views"),
+        F.count_if(_it() == "FINISHED").alias("total_finishes"),
+        F.count_if(_it() == "USER_CANCEL").alias("total_cancels"),
         F.count(F.lit(1)).alias("total_events"),
         F.count_distinct(F.to_date("ts")).alias("_days"),
         F.avg(F.when(is_apply, F.col("reward"))).alias("_avg_reward"))
@@ -52,7 +53,7 @@ def user_history(events: DataFrame, shifts: DataFrame) -> DataFrame:
 
 
 def _applied(events: DataFrame, shifts: DataFrame) -> DataFrame:
-    return events_with_shift(events.where((_IT == "APPLY") & F.col("user_id").isNotNull()), shifts)
+    return events_with_shift(events.where((_it() == "APPLY") & F.col("user_id").isNotNull()), shifts)
 
 
 def user_employer(events: DataFrame, shifts: DataFrame) -> DataFrame:
@@ -89,7 +90,7 @@ def as_map(long_df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 def employer_fill(events: DataFrame, shifts: DataFrame) -> DataFrame:
     """Per employer seen in events: APPLY events / all events; null when it has no APPLY."""
     ev = events_with_shift(events, shifts).where(F.col("employer_id").isNotNull())
-    g = ev.groupBy("employer_id").agg(F.count_if(_IT == "APPLY").alias("applies"),
+    g = ev.groupBy("employer_id").agg(F.count_if(_it() == "APPLY").alias("applies"),
                                       F.count(F.lit(1)).alias("events"))
     return g.select("employer_id", "applies", "events",
                     (F.nullif(F.col("applies"), F.lit(0)) / F.greatest(F.lit(1), F.col("events")))
@@ -99,13 +100,13 @@ def employer_fill(events: DataFrame, shifts: DataFrame) -> DataFrame:
 def pair_history(events: DataFrame) -> DataFrame:
     """D8 + D9: per (user, shift) with any APPLY / FINISHED / USER_CANCEL: the three counts and
     the last APPLY time (null times ignored)."""
-    e = events.where(_IT.isin("APPLY", "FINISHED", "USER_CANCEL")
+    e = events.where(_it().isin("APPLY", "FINISHED", "USER_CANCEL")
                      & F.col("user_id").isNotNull() & F.col("shift_id").isNotNull())
     return e.groupBy("user_id", "shift_id").agg(
-        F.count_if(_IT == "APPLY").alias("apply_count"),
-        F.count_if(_IT == "FINISHED").alias("finish_count"),
-        F.count_if(_IT == "USER_CANCEL").alias("cancel_count"),
-        F.max(F.when(_IT == "APPLY", F.col("ts"))).alias("last_apply_ts"))
+        F.count_if(_it() == "APPLY").alias("apply_count"),
+        F.count_if(_it() == "FINISHED").alias("finish_count"),
+        F.count_if(_it() == "USER_CANCEL").alias("cancel_count"),
+        F.max(F.when(_it() == "APPLY", F.col("ts"))).alias("last_apply_ts"))
 
 
 def sleepers(hist: DataFrame) -> DataFrame:
