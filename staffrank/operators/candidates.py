@@ -36,10 +36,38 @@ def _activity_order():
 
 
 def location_rank(activity: DataFrame, limit: int | None = None) -> DataFrame:
-    """Rank inside the location by activity desc, user id asc; optional cap."""
+    """Rank inside the location by activity desc, user id asc; optional cap.
+
+    Capped: ``row_number() <= limit`` (partial window group limit before the shuffle).
+    Uncapped: a skew-safe distributed rank (a hot location is split across range partitions).
+    """
+    if limit is None:
+        return rank_within(activity, "location_id", _activity_order(), "loc_rank")
     w = Window.partitionBy("location_id").orderBy(*_activity_order())
-    ranked = activity.withColumn("loc_rank", F.row_number().over(w))
-    return ranked.where(F.col("loc_rank") <= limit) if limit is not None else ranked
+    return activity.withColumn("loc_rank", F.row_number().over(w)).where(F.col("loc_rank") <= limit)
+
+
+def rank_within(df: DataFrame, group: str, order: list, out: str) -> DataFrame:
+    """``row_number() over (partition by group order by order)`` without one task per group.
+
+    Range-partition by (group, order...) so a group holding a third of the rows spans many
+    partitions; checkpoint (shared folder) to pin that partitioning; count rows per
+    (partition, group); a running sum of those counts over the partitions gives each
+    (partition, group) slice its offset; the final number is offset + the row's number inside
+    its slice (a window over (partition, group), bounded by the partition size).
+    """
+    from staffrank.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = (df.repartitionByRange(n, F.col(group), *order)
+         .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    counts = r.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"))
+    wo = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wo), F.lit(0))).drop("_n")
+    wl = Window.partitionBy("_pid", group).orderBy(*order)
+    j = r.join(offs, ["_pid", group])
+    return j.withColumn(out, (F.col("_off") + F.row_number().over(wl)).cast("int")).drop("_pid", "_off")
 
 
 def global_top(activity: DataFrame, k: int) -> DataFrame:
@@ -92,17 +120,16 @@ def eligible_top(shifts: DataFrame, users: DataFrame, events: DataFrame, limit:
     act = user_activity(users, events, count_col="id")
     s = shifts.select(F.col("id").alias("shift_id"), "location_id", "need_mk")
     # cap per location before pairing: a shift needing the certificate only sees has_mk users,
-    # so rank separately inside (location, has_mk) and let each shift pick its groups
-    w_all = Window.partitionBy("location_id").orderBy(*_activity_order())
-    w_mk = Window.partitionBy("location_id", "has_mk").orderBy(*_activity_order())
-    r = (act.withColumn("r_all", F.row_number().over(w_all))
-         .withColumn("r_mk", F.row_number().over(w_mk))
-         .where((F.col("r_all") <= limit) | ((F.col("has_mk") == True) & (F.col("r_mk") <= limit))))  # noqa: E712
-    j = (s.join(r, "location_id")
-         .where(~F.coalesce(F.col("need_mk"), F.lit(False)) | (F.col("has_mk") == True))  # noqa: E712
-         .withColumn("cand_rank", F.when(F.coalesce(F.col("need_mk"), F.lit(False)), F.col("r_mk"))
-                     .otherwise(F.col("r_all")))
-         .where(F.col("cand_rank") <= limit))
+    # so two capped lists (each with its own partial window group limit) and each shift takes one
+    need = F.coalesce(F.col("need_mk"), F.lit(False))
+    w = Window.partitionBy("location_id").orderBy(*_activity_order())
+    top_all = (act.withColumn("cand_rank", F.row_number().over(w)).where(F.col("cand_rank") <= limit)
+               .select("location_id", "user_id", "cand_rank", F.lit(False).alias("mk_list")))
+    top_mk = (act.where(F.col("has_mk") == True)  # noqa: E712
+              .withColumn("cand_rank", F.row_number().over(w)).where(F.col("cand_rank") <= limit)
+              .select("location_id", "user_id", "cand_rank", F.lit(True).alias("mk_list")))
+    lists = top_all.unionByName(top_mk)
+    j = s.withColumn("mk_list", need).join(lists, ["location_id", "mk_list"])
     return j.select("shift_id", "user_id", "cand_rank")
 
 

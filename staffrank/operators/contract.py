@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffrank.functions.expressions import INTERACTIONS, to_uuid
@@ -46,16 +46,17 @@ def clean(df: DataFrame, critical: list[str], key: str = "id", order_cols: list[
     """Drop rows with a null critical column, then keep the first row per ``key``.
 
     "First" is the input order given by ``order_cols`` (e.g. a load sequence); without it the
-    file order captured by ``monotonically_increasing_id`` right after the scan is used.
+    file order captured by ``monotonically_increasing_id`` right after the scan is used. The
+    choice is a partially aggregated ``min`` per key (skew-safe), not a per-key window sort.
     """
+    from staffrank.operators.store import pick_per_key
     d = df.dropna(subset=critical)
     tmp = None
     if not order_cols:
         tmp = "__seq"
         d = d.withColumn(tmp, F.monotonically_increasing_id())
         order_cols = [tmp]
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc() for c in order_cols])
-    out = d.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    out = pick_per_key(d, [key], order_cols, newest=False).select(*d.columns)
     return out.drop(tmp) if tmp else out
 
 

@@ -1,17 +1,33 @@
 """Table store: last-write-wins upserts, counts, look-ups (B10-B15) and sinks.
 
-Upserts rewrite a snapshot: ``base UNION batch`` ranked per key by ingest sequence, newest kept.
-The rank is a per-key window, so only rows sharing a key meet in one task.
+Upserts rewrite a snapshot: ``base UNION batch`` reduced per key to the newest row by ingest
+sequence, with a partially aggregated ``max`` (skew-safe for hot keys).
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def pick_per_key(df: DataFrame, keys: list[str], order: list[str], newest: bool) -> DataFrame:
+    """One row per key: the row with the largest (``newest``) or smallest ``order`` values,
+    ties broken by the whole row, so the choice is deterministic.
+
+    Written as ``max`` / ``min`` of a struct, an aggregate with map-side partial aggregation:
+    a key holding a third of all rows leaves one candidate per map task instead of sending all
+    its rows to one sorting task, as ``row_number() over (partition by key)`` would.
+    """
+    cols = [c for c in df.columns if c not in keys]
+    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                      F.struct(*[F.col(c) for c in cols]).alias("_row"))
+    best = F.max(packed) if newest else F.min(packed)
+    out = df.groupBy(*keys).agg(best.alias("_p"))
+    return out.select(*keys, *[F.col(f"_p._row.{c}").alias(c) for c in cols])
+
+
 def upsert(base: DataFrame, batch: DataFrame, key: list[str] | str = "id",
            batch_order: list[str] | None = None) -> DataFrame:
     """Last write wins per ``key``; every non-key column is replaced.
@@ -21,17 +37,12 @@ def upsert(base: DataFrame, batch: DataFrame, key: list[str] | str = "id",
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = base.columns
-    b0 = base.select(*cols).withColumn("__src", F.lit(0))
-    b1 = batch.select(*cols, *[c for c in (batch_order or []) if c not in cols]).withColumn(
-        "__src", F.lit(1))
-    if batch_order:
-        b0 = b0.select(*cols, "__src", *[F.lit(None).cast(batch.schema[c].dataType).alias(c)
-                                         for c in batch_order if c not in cols])
-    allr = b0.unionByName(b1)
-    order = [F.col("__src").desc()] + [F.col(c).desc_nulls_last() for c in (batch_order or [])]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return (allr.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1)
-            .select(*cols))
+    extra = [c for c in (batch_order or []) if c not in cols]
+    b0 = base.select(*cols, *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in extra]
+                     ).withColumn("__src", F.lit(0))
+    b1 = batch.select(*cols, *extra).withColumn("__src", F.lit(1))
+    order = ["__src"] + list(batch_order or [])
+    return pick_per_key(b0.unionByName(b1), keys, order, newest=True).select(*cols)
 
 
 def accepted(batch: DataFrame) -> int:

@@ -89,11 +89,11 @@ def ingest_events(stream: DataFrame, sink: str, checkpoint: str) -> tuple[str, s
 # ------------------------------------------------------------------------------------- K2
 
 def merge_snapshot(state: DataFrame | None, batch: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Last write wins per key by ``order`` (desc) over the union of state and batch."""
-    from pyspark.sql import Window
+    """Last write wins per key by ``order`` over the union of state and batch (partial-aggregated
+    ``max``, skew-safe)."""
+    from staffrank.operators.store import pick_per_key
     allr = batch if state is None else state.unionByName(batch)
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return allr.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return pick_per_key(allr, keys, [order], newest=True).select(*allr.columns)
 
 
 class SnapshotStore:
