@@ -128,3 +128,91 @@ def user_profile(users: DataFrame, hist: DataFrame) -> DataFrame:
     return p.select("user_id", "location_id", "user_has_mk", *[
         F.when(F.col("_seen").isNull(), F.lit(z)).otherwise(F.col(c)).alias(c)
         for c, z in zero.items()])
+
+
+# ---------------------------------------------------------------------------------------------
+# One-pass state: every history above from a single scan of the events (GROUPING SETS).
+# ---------------------------------------------------------------------------------------------
+
+_FACT_KEYS = ["user_id", "shift_location", "task_type", "employer_id", "workplace_id", "shift_id",
+              "day"]
+# The grouping sets of the one-pass history aggregate.
+_FACT_SETS = {
+    "user": ["user_id"],
+    "user_day": ["user_id", "day"],
+    "user_location": ["user_id", "shift_location"],
+    "user_task": ["user_id", "task_type"],
+    "user_employer": ["user_id", "employer_id"],
+    "user_workplace": ["user_id", "workplace_id"],
+    "employer": ["employer_id"],
+    "pair": ["user_id", "shift_id"],
+}
+
+
+def _gid(cols: list[str]) -> int:
+    n = len(_FACT_KEYS)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(_FACT_KEYS) if c not in cols)
+
+
+def history_facts(events: DataFrame, shifts: DataFrame) -> DataFrame:
+    """All per-key counts the histories need, in one scan + one shuffle: a GROUPING SETS
+    aggregate (Expand, then partial aggregation on the map side) tagged with the set name."""
+    ev = events_with_shift(events, shifts).withColumn("day", F.to_date("ts"))
+    it = _it()
+    is_apply = it == "APPLY"
+    g = ev.groupingSets([list(v) for v in _FACT_SETS.values()], *_FACT_KEYS).agg(
+        F.grouping_id().alias("_gid"),
+        F.count_if(is_apply).alias("n_apply"), F.count_if(it == "VIEW").alias("n_view"),
+        F.count_if(it == "FINISHED").alias("n_finish"), F.count_if(it == "USER_CANCEL").alias("n_cancel"),
+        F.count(F.lit(1)).alias("n_total"),
+        F.sum(F.when(is_apply, F.col("reward"))).alias("reward_sum"),
+        F.count(F.when(is_apply, F.col("reward"))).alias("reward_n"),
+        F.max(F.when(is_apply, F.col("ts"))).alias("last_apply_ts"))
+    label = F.lit(None).cast("string")
+    for name, cols in _FACT_SETS.items():
+        label = F.when(F.col("_gid") == _gid(cols), F.lit(name)).otherwise(label)
+    return g.withColumn("fact", label).drop("_gid")
+
+
+def _facts(facts: DataFrame, name: str) -> DataFrame:
+    f = facts.where(F.col("fact") == name)
+    for c in _FACT_SETS[name]:
+        f = f.where(F.col(c).isNotNull())
+    return f
+
+
+def history_from_facts(facts: DataFrame) -> DataFrame:
+    """D1 + D2 + D4 from the one-pass facts."""
+    days = _facts(facts, "user_day").groupBy("user_id").agg(F.count(F.lit(1)).alias("_days"))
+    u = _facts(facts, "user").join(days, "user_id", "left")
+    one = F.greatest(F.lit(1), F.col("n_apply"))
+    return u.select(
+        "user_id", F.col("n_apply").alias("total_applies"), F.col("n_view").alias("total_views"),
+        F.col("n_finish").alias("total_finishes"), F.col("n_cancel").alias("total_cancels"),
+        F.col("n_total").alias("total_events"),
+        (F.col("n_apply") / F.greatest(F.lit(1), F.col("n_total"))).alias("apply_rate"),
+        (F.col("n_finish") / one).alias("finish_rate"), (F.col("n_cancel") / one).alias("cancel_rate"),
+        F.coalesce(F.col("_days"), F.lit(1)).cast("bigint").alias("active_days"),
+        F.when(F.col("n_apply") == 0, F.lit(0.0))
+        .otherwise(F.col("reward_sum") / F.nullif(F.col("reward_n"), F.lit(0))).alias("avg_reward"))
+
+
+def long_tables_from_facts(facts: DataFrame) -> dict:
+    """D3, D5, D6, D7, D8 + D9 from the one-pass facts."""
+    applied = F.col("n_apply") > 0
+    return {
+        "user_location": _facts(facts, "user_location").where(applied).select(
+            "user_id", F.col("shift_location").alias("location_id"), F.col("n_apply").alias("applies")),
+        "user_task": _facts(facts, "user_task").where(applied).select(
+            "user_id", "task_type", F.col("n_apply").alias("applies")),
+        "user_employer": _facts(facts, "user_employer").where(applied).select("user_id", "employer_id"),
+        "user_workplace": _facts(facts, "user_workplace").where(applied).select("user_id", "workplace_id"),
+        "employer": _facts(facts, "employer").select(
+            "employer_id", F.col("n_apply").alias("applies"), F.col("n_total").alias("events"),
+            (F.nullif(F.col("n_apply"), F.lit(0)) / F.greatest(F.lit(1), F.col("n_total"))).alias("fill_rate")),
+        "pairs": _facts(facts, "pair").where(
+            F.col("n_apply") + F.col("n_finish") + F.col("n_cancel") > 0).select(
+            "user_id", "shift_id", F.col("n_apply").alias("apply_count"),
+            F.col("n_finish").alias("finish_count"), F.col("n_cancel").alias("cancel_count"),
+            "last_apply_ts"),
+    }

@@ -18,16 +18,26 @@ from staffrank.operators.labels import cancelled_shifts
 def unique_time_border(frame: DataFrame, test_ratio: float = 0.2, col: str = "start_at"):
     """F13 border: the sorted distinct start times, index max(1, floor(n(1-r))) capped at n-1.
 
-    Only the distinct times are ranked (one small window over the distinct set).
+    The idx-th distinct time is found without a global window: distinct times are counted per
+    hour bucket (one aggregate, one row per hour), a running sum over those buckets locates the
+    hour holding position idx, and only that hour's distinct times are ranked.
     """
     times = frame.where(F.col(col).isNotNull()).select(col).distinct()
-    n = times.count()
+    hour = F.floor(F.unix_micros(F.col(col).cast("timestamp")) / F.lit(3_600_000_000)).alias("_hr")
+    per_hour = times.groupBy(hour).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_hr").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = per_hour.withColumn("_cum", F.sum("_n").over(w)).withColumn("_before", F.col("_cum") - F.col("_n"))
+    tot = cum.agg(F.sum("_n")).first()[0] or 0
+    n = int(tot)
     if n == 0:
         raise ValueError("Training frame is empty after preprocessing.")
     if n < 2:
         raise ValueError("Not enough temporal points for the split.")
     idx = min(max(1, int(n * (1 - test_ratio))), n - 1)  # 0-based index
-    border = (times.withColumn("_i", F.row_number().over(Window.orderBy(col)) - 1)
+    hb = cum.where((F.col("_before") <= idx) & (F.col("_cum") > idx)).select("_hr", "_before").first()
+    in_hour = times.where(F.floor(F.unix_micros(F.col(col).cast("timestamp")) / F.lit(3_600_000_000))
+                          == F.lit(hb["_hr"]))
+    border = (in_hour.withColumn("_i", F.row_number().over(Window.orderBy(col)) - 1 + F.lit(hb["_before"]))
               .where(F.col("_i") == idx).select(col).first()[0])
     return border
 

@@ -50,8 +50,8 @@ def stage_events(events: DataFrame, path: str, seq_col: str = "seq") -> str:
     """Lay out events as a file stream source: one folder per event date (``day=...``)."""
     e = events if seq_col in events.columns else events.withColumn(seq_col, F.col("id").cast("bigint"))
     (e.select("id", seq_col, "shift_id", "user_id", "interaction", "ts")
-     .withColumn("day", F.to_date("ts")).repartition("day")
-     .write.mode("overwrite").partitionBy("day").parquet(path))
+     .withColumn("day", F.to_date("ts"))
+     .write.mode("overwrite").partitionBy("day").parquet(path))  # every task writes its slice of each day
     return path
 
 
