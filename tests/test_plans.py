@@ -39,3 +39,12 @@ def test_capped_rank_uses_window_group_limit(spark):
 def test_fallback_list_is_broadcast_equi_join(spark):
     p = plan(QUERIES["c4_candidates"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p and "TakeOrderedAndProject" in p
+
+
+def test_history_state_scans_events_once(spark):
+    from staffrank.operators import history as D
+    from staffrank.sources.tables import testdata_domain as load_domain
+    d = load_domain(spark, SF_SMALL)
+    p = plan(D.history_facts(d.events, d.shifts))
+    assert p.count("events.parquet") == 1
+    assert "Expand" in p
