@@ -32,9 +32,9 @@ def a1(d):
 @register("a2_read_shifts", with_(ADAPTER) + """
 SELECT id, strftime(start_at, '%Y-%m-%d %H:%M:%S.%f') AS start_at, location_id, task_type,
        employer_id, workplace_id, need_mk, id_differential, CAST(hours AS BIGINT) AS hours,
-       round(reward, 6) AS reward, CAST(capacity AS BIGINT) AS capacity FROM shifts""")
+       round(reward, 6) AS reward, CAST(capacity AS BIGINT) AS capacity FROM shifts_all""")
 def a2(d):
-    return TB.coerce_shifts(_as_text(d.shifts))
+    return TB.coerce_shifts(_as_text(d.all_shifts))
 
 
 @register("a3_read_events", with_(ADAPTER) + """
@@ -57,14 +57,14 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 @register_raw("a5_write_tables", with_(ADAPTER) + """
 SELECT 'users' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM users
-UNION ALL SELECT 'shifts', CAST(count(*) AS BIGINT) FROM shifts
+UNION ALL SELECT 'shifts', CAST(count(*) AS BIGINT) FROM shifts_all
 UNION ALL SELECT 'events', CAST(count(*) AS BIGINT) FROM ev""")
 def a5(spark, sf_dir):
     """Persist the three base tables (events partitioned by date), read them back, count."""
     d = TB.testdata_domain(spark, sf_dir)
     base = _scratch(spark, "tables")
     paths = {n: ST.write_table(df, base, n) for n, df in
-             (("users", d.users), ("shifts", d.shifts), ("events", d.events))}
+             (("users", d.users), ("shifts", d.all_shifts), ("events", d.events))}
     return ST.table_counts(**{n: spark.read.parquet(p) for n, p in paths.items()})
 
 
@@ -115,11 +115,11 @@ def _null_sql(table: str, cols: list[str], src: str) -> str:
 
 @register("b1_contract_check", with_(ADAPTER) + " " + " UNION ALL ".join([
     _null_sql("users", TB.REQUIRED["users"], "users"),
-    _null_sql("shifts", TB.REQUIRED["shifts"], "shifts"),
+    _null_sql("shifts", TB.REQUIRED["shifts"], "shifts_all"),
     _null_sql("events", TB.REQUIRED["events"], "ev")]))
 def b1(d):
     return (B.contract_check(d.users, TB.REQUIRED["users"], "users")
-            .unionByName(B.contract_check(d.shifts, TB.REQUIRED["shifts"], "shifts"))
+            .unionByName(B.contract_check(d.all_shifts, TB.REQUIRED["shifts"], "shifts"))
             .unionByName(B.contract_check(d.events, TB.REQUIRED["events"], "events")))
 
 
@@ -152,12 +152,12 @@ def _sf(d) -> str:
 @register("b3_to_num", with_(ADAPTER) + """
 SELECT id, round(TRY_CAST(txt AS DOUBLE), 6) AS reward_num FROM (
   SELECT id, CASE WHEN CAST(capacity AS BIGINT) % 4 = 0 THEN 'n/a'
-                  ELSE CAST(round(reward, 2) AS VARCHAR) END AS txt FROM shifts) q""")
+                  ELSE CAST(round(reward, 2) AS VARCHAR) END AS txt FROM shifts_all) q""")
 def b3(d):
     """Numeric coercion: rewards as text, every fourth capacity class garbled; bad text -> null."""
     txt = F.when(F.col("capacity") % 4 == 0, F.lit("n/a")).otherwise(
         F.round("reward", 2).cast("string"))
-    return d.shifts.select("id", to_num(txt).alias("reward_num"))
+    return d.all_shifts.select("id", to_num(txt).alias("reward_num"))
 
 
 @register("b4_to_utc", with_(ADAPTER) + """
@@ -218,7 +218,7 @@ def b6(d):
 SELECT 'users' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM (
   SELECT DISTINCT id FROM users WHERE id IS NOT NULL AND location_id IS NOT NULL
     AND has_mk IS NOT NULL AND is_strict_location IS NOT NULL) a
-UNION ALL SELECT 'shifts', CAST(count(DISTINCT id) AS BIGINT) FROM shifts
+UNION ALL SELECT 'shifts', CAST(count(DISTINCT id) AS BIGINT) FROM shifts_all
   WHERE id IS NOT NULL AND start_at IS NOT NULL AND location_id IS NOT NULL AND need_mk IS NOT NULL
     AND id_differential IS NOT NULL AND hours IS NOT NULL AND reward IS NOT NULL AND capacity IS NOT NULL
 UNION ALL SELECT 'events', CAST(count(DISTINCT id) AS BIGINT) FROM ev
@@ -227,7 +227,7 @@ UNION ALL SELECT 'events', CAST(count(DISTINCT id) AS BIGINT) FROM ev
 def b7(d):
     return B.post_clean_counts(
         users=B.clean(d.users, B.CRITICAL["users"], "id", ["id"]),
-        shifts=B.clean(d.shifts, B.CRITICAL["shifts"], "id", ["id"]),
+        shifts=B.clean(d.all_shifts, B.CRITICAL["shifts"], "id", ["id"]),
         events=B.clean(d.events, B.CRITICAL["events"], "id", ["id"]))
 
 
@@ -280,13 +280,13 @@ SELECT id, array_to_string(list_sort(list_filter([
 FROM (SELECT id, start_at, location_id, task_type, employer_id, workplace_id, need_mk, id_differential,
         hours - CASE WHEN capacity = 3 THEN hours ELSE 0 END AS hours,
         CASE WHEN capacity = 5 THEN -1.0 ELSE reward END AS reward,
-        CASE WHEN capacity = 7 THEN 0 ELSE capacity END AS capacity FROM shifts) s
+        CASE WHEN capacity = 7 THEN 0 ELSE capacity END AS capacity FROM shifts_all) s
 WHERE len(list_filter([
     NOT COALESCE(hours > 0, FALSE), NOT COALESCE(reward >= 0, FALSE),
     NOT COALESCE(capacity > 0, FALSE)], lambda x: x)) > 0""")
 def b8s(d):
     """Rejected rows of a shift batch with broken hours / reward / capacity, rule names listed."""
-    s = (d.shifts.withColumn("hours", F.when(F.col("capacity") == 3, F.lit(0)).otherwise(F.col("hours")))
+    s = (d.all_shifts.withColumn("hours", F.when(F.col("capacity") == 3, F.lit(0)).otherwise(F.col("hours")))
          .withColumn("reward", F.when(F.col("capacity") == 5, F.lit(-1.0)).otherwise(F.col("reward")))
          .withColumn("capacity", F.when(F.col("capacity") == 7, F.lit(0)).otherwise(F.col("capacity"))))
     _, rejected = B.validate(s, "shifts", mode="row")
@@ -324,17 +324,17 @@ def b10(d):
 @register("b11_upsert_shifts", with_(ADAPTER) + """,
 batch AS (SELECT id, start_at + INTERVAL 1 DAY AS start_at, location_id, task_type, employer_id,
                  workplace_id, need_mk, id_differential, hours, reward * 2 AS reward, capacity
-          FROM shifts WHERE capacity % 2 = 0),
-allr AS (SELECT *, 0 AS src FROM shifts UNION ALL SELECT *, 1 FROM batch)
+          FROM shifts_all WHERE capacity % 2 = 0),
+allr AS (SELECT *, 0 AS src FROM shifts_all UNION ALL SELECT *, 1 FROM batch)
 SELECT id, strftime(start_at, '%Y-%m-%d %H:%M:%S.%f') AS start_at, location_id, task_type,
   employer_id, workplace_id, need_mk, id_differential, CAST(hours AS BIGINT) AS hours,
   round(reward, 6) AS reward, CAST(capacity AS BIGINT) AS capacity FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY src DESC) AS rn FROM allr) q WHERE rn = 1""")
 def b11(d):
-    batch = (d.shifts.where(F.col("capacity") % 2 == 0)
+    batch = (d.all_shifts.where(F.col("capacity") % 2 == 0)
              .withColumn("start_at", F.col("start_at") + F.expr("INTERVAL 1 DAY"))
              .withColumn("reward", F.col("reward") * 2))
-    return ST.upsert(d.shifts, batch, "id")
+    return ST.upsert(d.all_shifts, batch, "id")
 
 
 @register("b12_upsert_events", with_(ADAPTER) + """,
@@ -361,10 +361,10 @@ def b13(d):
 
 @register("b14_table_counts", with_(ADAPTER) + """
 SELECT 'user_stat' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM users
-UNION ALL SELECT 'shift_stat', CAST(count(*) AS BIGINT) FROM shifts
+UNION ALL SELECT 'shift_stat', CAST(count(*) AS BIGINT) FROM shifts_all
 UNION ALL SELECT 'event_stat', CAST(count(*) AS BIGINT) FROM ev""")
 def b14(d):
-    return ST.table_counts(user_stat=d.users, shift_stat=d.shifts, event_stat=d.events)
+    return ST.table_counts(user_stat=d.users, shift_stat=d.all_shifts, event_stat=d.events)
 
 
 @register("b15_users_by_ids", with_(ADAPTER) + """
