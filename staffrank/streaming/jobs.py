@@ -6,14 +6,15 @@ streaming queries over a file source:
 * K1 ``ingest_events``: contract validation per micro-batch, accepted rows and a dead-letter
   sink written by ``foreachBatch`` (one folder per batch id, overwrite: a replayed batch
   rewrites the same folder, so the sinks are idempotent).
-* K2 ``stream_upsert``: last-write-wins store. Each batch is merged into the current snapshot by
-  key, newest ``seq`` (load sequence) wins, so the result does not depend on how files were cut
-  into batches; every merge writes a new snapshot version named by the batch id.
+* K2 ``stream_upsert``: last-write-wins store. Each batch appends its newest row per key to a
+  delta log (one folder per batch id); reads and periodic compactions keep the newest ``seq``
+  (load sequence) per key, so the result does not depend on how files were cut into batches and
+  a batch costs its own size, not the size of the state.
 * K3 ``dedup_stream``: ``withWatermark`` + ``dropDuplicatesWithinWatermark`` (first wins inside
   the bound, state evicted behind the watermark).
 * K4 ``daily_funnel``: tumbling 1-day windows per interaction with a late-data bound, append mode.
-* K5 ``running_pair_counts``: per (user, shift) counts and last apply, update mode, merged into a
-  snapshot by ``foreachBatch`` (sums and max are mergeable partials).
+* K5 ``running_pair_counts``: per (user, shift) counts and last apply, update mode; each batch's
+  updated totals are appended to the delta log, the newest version per pair wins.
 * K6 ``refresh_histories``: per-user history partials (counts, reward sum / count, distinct active
   dates as rows) added to the stored state with ``Trigger.AvailableNow``.
 
@@ -96,34 +97,53 @@ def merge_snapshot(state: DataFrame | None, batch: DataFrame, keys: list[str], o
     return pick_per_key(allr, keys, [order], newest=True).select(*allr.columns)
 
 
-class SnapshotStore:
-    """Versioned snapshot folders ``root/v=<batch_id>``; the newest complete version is current.
+class DeltaStore:
+    """Keyed state kept as a compacted base plus append-only per-batch deltas.
 
-    A replayed batch id rewrites its own version folder; readers take the highest version.
+    ``commit`` writes only the batch's delta (folder ``delta/batch=<id>``, overwritten when a
+    batch is replayed, so commits are idempotent). Every ``compact_every`` batches the base and
+    the deltas since it are folded into a new base version (``base/v=<id>``). ``current`` folds
+    the newest base with the later deltas. A micro-batch therefore costs its own size, not the
+    size of the state; ``fold`` is the merge rule (newest row per key, or sums of partials).
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.version: int | None = None
+    def __init__(self, spark: SparkSession, root: str, fold, compact_every: int = 8):
+        self.spark, self.root, self.fold, self.every = spark, root.rstrip("/"), fold, compact_every
+        self.base_version: int | None = None
+        self.deltas: list[int] = []
+
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.parquet(path)
 
     def current(self) -> DataFrame | None:
-        if self.version is None:
+        parts = []
+        if self.base_version is not None:
+            parts.append(self._read(f"{self.root}/base/v={self.base_version}"))
+        parts += [self._read(f"{self.root}/delta/batch={b}") for b in self.deltas]
+        if not parts:
             return None
-        return self.spark.read.parquet(f"{self.root}/v={self.version}")
+        allr = parts[0]
+        for p in parts[1:]:
+            allr = allr.unionByName(p)
+        return self.fold(allr)
 
-    def commit(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/v={batch_id}")
-        self.version = batch_id
+    def commit(self, delta: DataFrame, batch_id: int) -> None:
+        delta.write.mode("overwrite").parquet(f"{self.root}/delta/batch={batch_id}")
+        if batch_id not in self.deltas:
+            self.deltas.append(batch_id)
+        if len(self.deltas) >= self.every:
+            self.current().write.mode("overwrite").parquet(f"{self.root}/base/v={batch_id}")
+            self.base_version, self.deltas = batch_id, []
 
 
 def stream_upsert(stream: DataFrame, root: str, checkpoint: str, keys: list[str],
                   order: str = "seq") -> DataFrame:
-    """K2: streaming last-write-wins store; returns the final snapshot."""
-    store = SnapshotStore(stream.sparkSession, root)
+    """K2: streaming last-write-wins store; returns the final snapshot. Each batch appends its
+    newest row per key; reads and compactions keep the newest row per key over base + deltas."""
+    store = DeltaStore(stream.sparkSession, root, lambda df: merge_snapshot(None, df, keys, order))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = merge_snapshot(None, batch.drop("day"), keys, order)  # newest inside the batch
-        store.commit(merge_snapshot(store.current(), b, keys, order), batch_id)
+        store.commit(merge_snapshot(None, batch.drop("day"), keys, order), batch_id)
 
     _run(stream.writeStream.foreachBatch(write), checkpoint)
     return store.current()
@@ -169,13 +189,11 @@ def running_pair_counts(stream: DataFrame, root: str, checkpoint: str) -> DataFr
         F.count_if(it == "FINISHED").alias("finish_count"),
         F.count_if(it == "USER_CANCEL").alias("cancel_count"),
         F.max(F.when(it == "APPLY", F.col("ts"))).alias("last_apply_ts"))
-    store = SnapshotStore(stream.sparkSession, root)
+    store = DeltaStore(stream.sparkSession, root,
+                       lambda df: merge_snapshot(None, df, ["user_id", "shift_id"], "_v"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upd = batch.withColumn("_v", F.lit(batch_id).cast("long"))
-        cur = store.current()
-        merged = merge_snapshot(cur, upd, ["user_id", "shift_id"], "_v")
-        store.commit(merged, batch_id)
+        store.commit(batch.withColumn("_v", F.lit(batch_id).cast("long")), batch_id)
 
     _run(agg.writeStream.outputMode("update").foreachBatch(write), checkpoint)
     cur = store.current()
@@ -200,16 +218,6 @@ def history_partials(events: DataFrame, shifts: DataFrame) -> tuple[DataFrame, D
     return counts, days
 
 
-def add_partials(state: tuple | None, part: tuple) -> tuple[DataFrame, DataFrame]:
-    counts, days = part
-    if state is None:
-        return counts, days
-    c0, d0 = state
-    summed = c0.unionByName(counts).groupBy("user_id").agg(
-        *[F.sum(c).alias(c) for c in counts.columns if c != "user_id"])
-    return summed, d0.unionByName(days).distinct()
-
-
 def history_from_partials(counts: DataFrame, days: DataFrame) -> DataFrame:
     """D1 from merged partials."""
     nd = days.groupBy("user_id").agg(F.count(F.lit(1)).alias("_days"))
@@ -225,20 +233,21 @@ def history_from_partials(counts: DataFrame, days: DataFrame) -> DataFrame:
         .otherwise(F.col("reward_sum") / F.nullif(F.col("reward_n"), F.lit(0))).alias("avg_reward"))
 
 
+def _sum_partials(df: DataFrame) -> DataFrame:
+    return df.groupBy("user_id").agg(*[F.sum(c).alias(c) for c in df.columns if c != "user_id"])
+
+
 def refresh_histories(stream: DataFrame, shifts: DataFrame, root: str, checkpoint: str) -> DataFrame:
-    """K6: fold every micro-batch's partials into the stored state; returns D1 of the state."""
+    """K6: each micro-batch appends its partials (per-user counts and reward sums; distinct
+    active dates as rows); reads and compactions add them up; returns D1 of the state."""
     spark = stream.sparkSession
-    counts_store = SnapshotStore(spark, f"{root}/counts")
-    days_store = SnapshotStore(spark, f"{root}/days")
+    counts_store = DeltaStore(spark, f"{root}/counts", _sum_partials)
+    days_store = DeltaStore(spark, f"{root}/days", lambda df: df.distinct())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        part = history_partials(batch.drop("day"), shifts)
-        cur = None
-        if counts_store.current() is not None:
-            cur = (counts_store.current(), days_store.current())
-        c, d = add_partials(cur, part)
-        counts_store.commit(c, batch_id)
-        days_store.commit(d, batch_id)
+        counts, days = history_partials(batch.drop("day"), shifts)
+        counts_store.commit(counts, batch_id)
+        days_store.commit(days, batch_id)
 
     _run(stream.writeStream.foreachBatch(write), checkpoint)
     if counts_store.current() is None:

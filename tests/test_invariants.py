@@ -100,3 +100,18 @@ def test_streaming_dedup_keeps_first_within_bound(spark):
              .withColumn("id", (F.col("seq") % 7000).cast("string"))
              .groupBy("id").agg(F.min("seq").alias("seq")))
     assert got.select("id", "seq").exceptAll(first).count() == 0
+
+
+def test_delta_store_compaction_keeps_newest(spark):
+    import uuid
+    from staffrank.session import shared_dir
+    from staffrank.streaming.jobs import DeltaStore, merge_snapshot
+    root = shared_dir(spark, f"test-delta-{uuid.uuid4().hex[:8]}")
+    st = DeltaStore(spark, root, lambda df: merge_snapshot(None, df, ["k"], "v"), compact_every=3)
+    for b in range(10):
+        st.commit(spark.range(0, 50).select((F.col("id") % (5 + b)).alias("k"),
+                                            F.lit(b).cast("long").alias("v")).distinct(), b)
+    st.commit(spark.range(0, 3).select(F.col("id").alias("k"), F.lit(9).cast("long").alias("v")), 9)
+    got = {r.k: r.v for r in st.current().collect()}
+    want = {k: max(b for b in range(10) if k < 5 + b) for k in range(14)}
+    assert got == want and st.base_version is not None
