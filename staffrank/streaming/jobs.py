@@ -101,16 +101,33 @@ class DeltaStore:
     """Keyed state kept as a compacted base plus append-only per-batch deltas.
 
     ``commit`` writes only the batch's delta (folder ``delta/batch=<id>``, overwritten when a
-    batch is replayed, so commits are idempotent). Every ``compact_every`` batches the base and
-    the deltas since it are folded into a new base version (``base/v=<id>``). ``current`` folds
-    the newest base with the later deltas. A micro-batch therefore costs its own size, not the
-    size of the state; ``fold`` is the merge rule (newest row per key, or sums of partials).
+    batch is replayed). Every ``compact_every`` batches the base and the deltas since it are
+    folded into a new base version (``base/v=<id>``); a replayed batch already folded into the
+    base is ignored, so even additive folds stay exactly-once. ``current`` folds the newest base
+    with the later deltas. The store re-reads its folders on start, so a restarted stream
+    continues from what is on storage. A micro-batch costs its own size, not the size of the
+    state; ``fold`` is the merge rule (newest row per key, or sums of partials).
     """
 
     def __init__(self, spark: SparkSession, root: str, fold, compact_every: int = 8):
         self.spark, self.root, self.fold, self.every = spark, root.rstrip("/"), fold, compact_every
-        self.base_version: int | None = None
-        self.deltas: list[int] = []
+        bases = self._ids("base", "v=")
+        self.base_version: int | None = max(bases) if bases else None
+        floor = -1 if self.base_version is None else self.base_version
+        self.deltas: list[int] = sorted(b for b in self._ids("delta", "batch=") if b > floor)
+
+    def _ids(self, sub: str, prefix: str) -> list[int]:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        out = []
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[len(prefix):]))
+        return out
 
     def _read(self, path: str) -> DataFrame:
         return self.spark.read.parquet(path)
@@ -128,6 +145,8 @@ class DeltaStore:
         return self.fold(allr)
 
     def commit(self, delta: DataFrame, batch_id: int) -> None:
+        if self.base_version is not None and batch_id <= self.base_version:
+            return  # replay of a batch already folded into the base
         delta.write.mode("overwrite").parquet(f"{self.root}/delta/batch={batch_id}")
         if batch_id not in self.deltas:
             self.deltas.append(batch_id)

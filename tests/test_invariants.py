@@ -102,16 +102,24 @@ def test_streaming_dedup_keeps_first_within_bound(spark):
     assert got.select("id", "seq").exceptAll(first).count() == 0
 
 
-def test_delta_store_compaction_keeps_newest(spark):
+def test_delta_store_compaction_replay_and_restart(spark):
     import uuid
     from staffrank.session import shared_dir
     from staffrank.streaming.jobs import DeltaStore, merge_snapshot
     root = shared_dir(spark, f"test-delta-{uuid.uuid4().hex[:8]}")
-    st = DeltaStore(spark, root, lambda df: merge_snapshot(None, df, ["k"], "v"), compact_every=3)
+    fold = lambda df: merge_snapshot(None, df, ["k"], "v")
+
+    def batch(b):
+        return spark.range(0, 50).select((F.col("id") % (5 + b)).alias("k"),
+                                         F.lit(b).cast("long").alias("v")).distinct()
+
+    st = DeltaStore(spark, root, fold, compact_every=3)
     for b in range(10):
-        st.commit(spark.range(0, 50).select((F.col("id") % (5 + b)).alias("k"),
-                                            F.lit(b).cast("long").alias("v")).distinct(), b)
-    st.commit(spark.range(0, 3).select(F.col("id").alias("k"), F.lit(9).cast("long").alias("v")), 9)
-    got = {r.k: r.v for r in st.current().collect()}
+        st.commit(batch(b), b)
+    st.commit(batch(9), 9)   # replay of the open batch
+    st.commit(batch(4), 4)   # replay of a batch already folded into the base: ignored
     want = {k: max(b for b in range(10) if k < 5 + b) for k in range(14)}
-    assert got == want and st.base_version is not None
+    assert {r.k: r.v for r in st.current().collect()} == want and st.base_version == 8
+    again = DeltaStore(spark, root, fold, compact_every=3)  # restart: state read from storage
+    assert (again.base_version, again.deltas) == (8, [9])
+    assert {r.k: r.v for r in again.current().collect()} == want
