@@ -35,16 +35,20 @@ def _activity_order():
     return [F.col("n_events").desc(), F.col("user_id").asc()]
 
 
-def location_rank(activity: DataFrame, limit: int | None = None) -> DataFrame:
+def location_rank(activity: DataFrame, limit: int | None = None, by: list[str] | None = None
+                  ) -> DataFrame:
     """Rank inside the location by activity desc, user id asc; optional cap.
 
     Capped: ``row_number() <= limit`` (partial window group limit before the shuffle).
     Uncapped: a skew-safe distributed rank (a hot location is split across range partitions).
+    ``by``: extra partition keys (for instance the day of an as-of state).
     """
-    if limit is None:
+    by = by or []
+    if limit is None and not by:
         return rank_within(activity, "location_id", _activity_order(), "loc_rank")
-    w = Window.partitionBy("location_id").orderBy(*_activity_order())
-    return activity.withColumn("loc_rank", F.row_number().over(w)).where(F.col("loc_rank") <= limit)
+    w = Window.partitionBy(*by, "location_id").orderBy(*_activity_order())
+    ranked = activity.withColumn("loc_rank", F.row_number().over(w))
+    return ranked.where(F.col("loc_rank") <= limit) if limit is not None else ranked
 
 
 def rank_within(df: DataFrame, group: str, order: list, out: str) -> DataFrame:
@@ -70,43 +74,51 @@ def rank_within(df: DataFrame, group: str, order: list, out: str) -> DataFrame:
     return j.withColumn(out, (F.col("_off") + F.row_number().over(wl)).cast("int")).drop("_pid", "_off")
 
 
-def global_top(activity: DataFrame, k: int) -> DataFrame:
-    """The k most active users with their global rank (top-k first, rank on <= k rows)."""
+def global_top(activity: DataFrame, k: int, by: list[str] | None = None) -> DataFrame:
+    """The k most active users with their global rank (top-k first, rank on <= k rows);
+    with ``by``, the top k of every ``by`` group (window group limit per group)."""
+    if by:
+        w = Window.partitionBy(*by).orderBy(*_activity_order())
+        return activity.withColumn("global_rank", F.row_number().over(w)).where(
+            F.col("global_rank") <= k)
     top = activity.orderBy(*_activity_order()).limit(k)
     return top.withColumn("global_rank", F.row_number().over(Window.orderBy(*_activity_order())))
 
 
-def location_sizes(activity: DataFrame) -> DataFrame:
-    return activity.groupBy("location_id").agg(F.count(F.lit(1)).alias("loc_users"))
+def location_sizes(activity: DataFrame, by: list[str] | None = None) -> DataFrame:
+    return activity.groupBy(*(by or []), "location_id").agg(F.count(F.lit(1)).alias("loc_users"))
 
 
 def candidates(shifts: DataFrame, activity: DataFrame, limit: int = 300, min_local: int = 50,
-               extra: int = 500) -> DataFrame:
+               extra: int = 500, by: list[str] | None = None) -> DataFrame:
     """C4: (shift_id, user_id, cand_rank) for every shift.
 
     Users of the shift's location in activity order; when the location has fewer than
     ``min_local`` users, the first ``extra`` globally ranked users from other locations are
-    appended; the list is cut to ``limit``.
+    appended; the list is cut to ``limit``. ``by``: keys shared by shifts and activity that
+    select which activity state a shift sees (e.g. the day of an as-of backtest).
     """
-    s = shifts.select(F.col("id").alias("shift_id"), "location_id")
-    local = (location_rank(activity, limit)
-             .select("location_id", "user_id", F.col("loc_rank").alias("cand_rank")))
-    local_c = s.join(local, "location_id").select("shift_id", "user_id", "cand_rank")
-
-    sizes = location_sizes(activity)
-    small = (s.join(sizes, "location_id", "left")
+    by = by or []
+    s = shifts.select(F.col("id").alias("shift_id"), "location_id", *by)
+    local = (location_rank(activity, limit, by)
+             .select(*by, "location_id", "user_id", F.col("loc_rank").alias("cand_rank")))
+    local_c = s.join(local, [*by, "location_id"]).select("shift_id", "user_id", "cand_rank")
+
+    sizes = location_sizes(activity, by)
+    small = (s.join(sizes, [*by, "location_id"], "left")
              .withColumn("loc_users", F.coalesce(F.col("loc_users"), F.lit(0)))
              .where(F.col("loc_users") < min_local))
     if extra <= 0 or min_local <= 0:
         return local_c
     pool = extra + min_local - 1  # enough: fewer than min_local of them can be local
-    gtop = F.broadcast(global_top(activity, pool)
-                       .select(F.col("global_rank").alias("slot"),
-                               F.col("user_id").alias("g_user"),
-                               F.col("location_id").alias("g_loc")))
-    slots = small.select("shift_id", "location_id", "loc_users",
+    gtop = (global_top(activity, pool, by)
+            .select(*by, F.col("global_rank").alias("slot"), F.col("user_id").alias("g_user"),
+                    F.col("location_id").alias("g_loc")))
+    if not by:
+        gtop = F.broadcast(gtop)  # bounded by the parameters: pool rows
+    slots = small.select("shift_id", "location_id", "loc_users", *by,
                          F.explode(F.sequence(F.lit(1), F.lit(pool))).alias("slot"))
-    ext = (slots.join(gtop, "slot")
+    ext = (slots.join(gtop, [*by, "slot"])
            .where(F.col("g_loc").isNull() | (F.col("g_loc") != F.col("location_id")))
            .withColumn("x", F.row_number().over(Window.partitionBy("shift_id").orderBy("slot")))
            .where(F.col("x") <= extra)

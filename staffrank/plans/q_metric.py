@@ -121,8 +121,16 @@ drows AS (
 @register("i8_backtest", BACKTEST_SQL + """
 SELECT eval_date, target_metric, evaluated_groups, evaluated_shifts FROM drows""")
 def i8(d):
-    """Daily activity backtest: each truth day scored from the state before it, then that
-    day's events merged into the state (checkpointed per day)."""
+    """Daily activity backtest: each truth day scored from the state known before it (training
+    events plus the earlier evaluated days), as one plan with day-wise as-of counts."""
+    return BT.activity_backtest_asof(d.users, d.shifts, d.events, SPLIT_T)
+
+
+@register("i8_backtest_day_loop", BACKTEST_SQL + """
+SELECT eval_date, target_metric, evaluated_groups, evaluated_shifts FROM drows""")
+def i8l(d):
+    """The same backtest as a loop of independent per-day jobs over checkpointed inputs (the
+    form a model-based backtest uses, where each day re-trains)."""
     return BT.activity_backtest(d.users, d.shifts, d.events, SPLIT_T)
 
 
@@ -135,7 +143,7 @@ FROM (SELECT eval_date, COALESCE(dm.day_metric, 0.0) AS target_metric,
       FROM days LEFT JOIN dm ON dm.eval_date = days.d) q""")
 def i6(d):
     """Backtest overall: mean of day metrics where an unevaluable day counts as 0."""
-    return BT.backtest_overall(BT.activity_backtest(d.users, d.shifts, d.events, SPLIT_T))
+    return BT.backtest_overall(BT.activity_backtest_asof(d.users, d.shifts, d.events, SPLIT_T))
 
 
 @register("i7_day_slices", with_(ADAPTER, SPLIT) + """,
