@@ -56,7 +56,7 @@ def stage_events(events: DataFrame, path: str, seq_col: str = "seq") -> str:
     return path
 
 
-def read_stream(spark: SparkSession, path: str, files_per_batch: int = 5) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, files_per_batch: int = 20) -> DataFrame:
     return (spark.readStream.schema(STREAM_EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
             .parquet(path))
 
