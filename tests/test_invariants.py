@@ -123,3 +123,15 @@ def test_delta_store_compaction_replay_and_restart(spark):
     again = DeltaStore(spark, root, fold, compact_every=3)  # restart: state read from storage
     assert (again.base_version, again.deltas) == (8, [9])
     assert {r.k: r.v for r in again.current().collect()} == want
+
+
+def test_exact_percentiles_equal_builtin(spark):
+    from staffrank.operators.quantiles import exact_percentiles
+    df = spark.range(0, 5000).select((F.col("id") % 3).alias("g"), (F.rand(7) * 100).alias("x"))
+    ps = [0.01, 0.5, 0.8, 0.95, 1.0]
+    got = {r.g: r for r in exact_percentiles(df, "x", ps, by=["g"]).collect()}
+    want = {r.g: r for r in df.groupBy("g").agg(
+        *[F.percentile("x", p).alias(f"p{int(round(p * 100)):02d}") for p in ps]).collect()}
+    assert set(got) == set(want)
+    for g, r in want.items():
+        assert all(abs(got[g][k] - r[k]) < 1e-9 for k in r.asDict() if k != "g")
