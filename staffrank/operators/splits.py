@@ -91,13 +91,24 @@ def date_split(shifts: DataFrame, events: DataFrame, t) -> DateSplit:
 
 def ground_truth(events: DataFrame, val_shifts: DataFrame) -> DataFrame:
     """F16: APPLY on val shifts, shift without SYSTEM_CANCEL over all events, ts <= start,
-    distinct pair, date = UTC date of the shift start."""
+    distinct pair, date = UTC date of the shift start.
+
+    One scan of the events: APPLY and SYSTEM_CANCEL rows of the val shifts feed a GROUPING SETS
+    aggregate over (shift, user) and (shift); pairs with an in-time APPLY minus cancelled
+    shifts (an anti join of two aggregated tables, not a window over a shift's events).
+    """
     vs = val_shifts.select(F.col("id").alias("shift_id"), "start_at")
-    a = (events.where(F.col("interaction") == "APPLY")
-         .join(vs, "shift_id")
-         .join(cancelled_shifts(events), "shift_id", "left_anti")
-         .where(F.col("ts") <= F.col("start_at")))
-    return a.select("user_id", "shift_id", F.to_date("start_at").alias("date")).distinct()
+    it = F.col("interaction")
+    e = events.where(it.isin("APPLY", "SYSTEM_CANCEL")).join(vs, "shift_id")
+    g = e.groupingSets([["shift_id", "user_id"], ["shift_id"]], "shift_id", "user_id").agg(
+        F.grouping_id().alias("_gid"),
+        F.count_if((it == "APPLY") & (F.col("ts") <= F.col("start_at"))).alias("_ok"),
+        F.count_if(it == "SYSTEM_CANCEL").alias("_cancel"),
+        F.max("start_at").alias("start_at"))
+    pairs = g.where((F.col("_gid") == 0) & (F.col("_ok") > 0))
+    cancelled = g.where((F.col("_gid") == 1) & (F.col("_cancel") > 0)).select("shift_id")
+    return (pairs.join(cancelled, "shift_id", "left_anti")
+            .select("user_id", "shift_id", F.to_date("start_at").alias("date")))
 
 
 def cv_truth(val_events: DataFrame, shifts: DataFrame):
