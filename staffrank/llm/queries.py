@@ -40,3 +40,34 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", F.col("n_removed").cast("long").alias("n_removed"),
         F.sha2("kept_text", 256).alias("kept_sha256"), F.size("intervals").alias("n_intervals"))
+
+
+@register
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.decontaminate import with_hits
+
+    found = with_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), "hit")
+    return found.select(
+        "doc_id", "hit.n_words", "hit.n_hit", F.size("hit.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit.items", ","), 256).alias("items_sha256"), "hit.contaminated")
+
+
+@register
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from staffrank.llm.bpe import encode_documents
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN, "bpe")
+    return coded.select(
+        "doc_id", F.size("bpe.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("bpe.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("bpe.decoded", 256).alias("decoded_sha256"))
+
+
+@register
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
