@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffrank.llm.words import ALNUM_LOWER, WordTable
+from staffrank.llm.words import ALNUM_LOWER, WordTable, slices
 
 WIDTH = 13
 BLOCK_BYTES = 4 << 20  # benchmark text per broadcast block
@@ -92,9 +92,9 @@ def build(items: list[tuple[str, str]], width: int = WIDTH) -> list[Matcher]:
     return list(by_length.values())
 
 
-def search_texts(texts: pd.Series, matchers: list[Matcher]) -> pd.DataFrame:
+def search_texts(texts: list, matchers: list[Matcher]) -> pd.DataFrame:
     """Word count, merged hit spans (word offsets) and sorted items for each text."""
-    table = WordTable(texts.tolist(), ALNUM_LOWER, lower=True)
+    table = WordTable(texts, ALNUM_LOWER, lower=True)
     words = table.hash.tolist()
     blocks = {size: _blocks(table.hash, size).tolist() if size > 1 else words for size in {m.block for m in matchers}}
 
@@ -136,7 +136,9 @@ def _searcher(tables):
     @F.pandas_udf(FOUND)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield search_texts(texts, tables.value)
+            texts = texts.tolist()
+            parts = [search_texts(texts[lo:hi], tables.value) for lo, hi in slices(texts)]
+            yield pd.concat(parts, ignore_index=True) if parts else search_texts([], tables.value)
 
     return search
 

@@ -111,3 +111,17 @@ def rolling_hash(word: np.ndarray, width: int) -> np.ndarray:
     up = np.full(n - width + 1, base, dtype=np.uint64)
     up[0] = pow(base, width - 1, 1 << 64)
     return mix64((sums[width:] - sums[:-width]) * np.cumprod(up))
+
+
+def slices(texts: list, chars: int = 1 << 21):
+    """(lo, hi) ranges of a batch of texts of about ``chars`` characters: bounds a task's arrays
+    whatever the length of the texts in a batch (one longer text is a range of its own)."""
+    lo = size = 0
+    for i, t in enumerate(texts):
+        n = len(t) if t is not None else 0
+        if i > lo and size + n > chars:
+            yield lo, i
+            lo, size = i, 0
+        size += n
+    if texts:
+        yield lo, len(texts)
