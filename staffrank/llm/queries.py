@@ -71,3 +71,12 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from staffrank.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.quality import judge
+
+    return judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"))
