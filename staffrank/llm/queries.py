@@ -80,3 +80,34 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"))
+
+
+@register
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.line_dedup import remove_boilerplate
+
+    kept = remove_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op8_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, source, unnest(list_zip(string_split(text, chr(10)), range(len(string_split(text, chr(10)))))) AS l
+  FROM documents),
+worded AS (SELECT doc_id, source, l[1] AS line, l[2] AS place, regexp_matches(l[1], '[^\x20\x09-\x0D]') AS word FROM lines),
+spread AS (SELECT line, min(doc_id) AS first_id FROM worded WHERE word GROUP BY line HAVING count(DISTINCT source) >= 10),
+marked AS (
+  SELECT w.doc_id, w.line, w.place, w.word, s.line IS NOT NULL AND w.doc_id IS DISTINCT FROM s.first_id AS lost
+  FROM worded w LEFT JOIN spread s ON w.word AND w.line = s.line)
+SELECT doc_id, sum(word::INT)::BIGINT AS n_lines, sum(lost::INT)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@register
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.url_filter import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
