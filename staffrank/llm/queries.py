@@ -111,3 +111,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select(
         "page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
+
+
+@register
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.lm_score import cross_entropy_difference
+
+    good = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
+    scored = cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+    return scored.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")])
