@@ -120,3 +120,14 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
     scored = cross_entropy_difference(table(spark, sf_dir, "documents"), good)
     return scored.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")])
+
+
+@register
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.licenses import scan
+
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_notices"),
+        F.array_join("families", ",").alias("families"),
+        F.array_join(F.transform("notices", lambda n: F.concat_ws(":", n["paragraph"], n["family"])), ",").alias("notices"))
