@@ -131,3 +131,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_notices"),
         F.array_join("families", ",").alias("families"),
         F.array_join(F.transform("notices", lambda n: F.concat_ws(":", n["paragraph"], n["family"])), ",").alias("notices"))
+
+
+@register
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
