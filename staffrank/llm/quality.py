@@ -161,4 +161,7 @@ def judge(docs: DataFrame) -> DataFrame:
     word = F.when((F.col("n_words") >= MIN_COMMON_WORDS) & (F.size("_q_list") > 0), js_distance(_normal(F.col("_q_common")), F.col("_q_ref_common")))
     df = df.withColumns({"char_distance": char, "word_distance": word})
     far = F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False))
-    return df.withColumn("kept", ~F.col("base_failed") & ~far).drop(*[c for c in df.columns if c.startswith("_q_")])
+    # the id keeps a later filter on ``kept`` above this projection; below it, the optimizer would
+    # copy the whole-text expressions into the filter, once for each place that uses them
+    once = F.monotonically_increasing_id() >= 0
+    return df.withColumn("kept", ~F.col("base_failed") & ~far & once).drop(*[c for c in df.columns if c.startswith("_q_")])
