@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staffrank.session import ensure_checkpoint_dir
+
 MIN_WORDS = 50            # base rule
 MIN_CHARS = 200           # guard of the character test
 MIN_COMMON_WORDS = 150    # guard of the common-word test (words in the text)
@@ -36,6 +38,7 @@ COMMON_WORDS = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un", "por", "con", "no", "una"],
 }
 _N_COMMON = 16
+_WORDS = 100  # number of the first common-word bin in the reference counts
 _CLASSES = {  # counted by pattern; blanks, and plain letters with digits, are what remains
     "upper": "[A-Z]", "sentence": "[.,;:!?'\"()\\-]",
     "symbol": r"[#*$%&|<>@~^_=+/\\\[\]{}`]", "foreign": r"[^\x00-\x7F]",
@@ -68,30 +71,39 @@ def _base(docs: DataFrame) -> DataFrame:
 
 
 def references(docs: DataFrame) -> DataFrame:
-    """(lang, chars, common): reference shares of each language, and of all together under ''.
+    """(lang, chars, letters, common): reference shares of each language, and of all together under ''.
 
     ``chars`` are medians over documents of at least ``MIN_CHARS`` characters, found from counts of
-    the shares in steps of 1/4096; ``common`` are pooled over documents of at least
-    ``MIN_COMMON_WORDS`` words.  A language needs ``MIN_REFERENCE`` documents.
+    the shares in steps of 1/4096; ``letters`` are the same with foreign and plain letters as one
+    class, for texts of languages without a reference; ``common`` are pooled over documents of at
+    least ``MIN_COMMON_WORDS`` words.  A reference needs ``MIN_REFERENCE`` documents.
     """
     df = _base(docs.select("text", "lang")).where(F.col("_q_length") >= MIN_CHARS)
-    long = F.col("n_words") >= MIN_COMMON_WORDS
-    groups = F.explode(F.array_distinct(F.array(F.col("_q_lang"), F.lit(""))))
-    pooled = (df.select(groups.alias("lang"), *[F.when(long, F.col("_q_common")[k]).otherwise(0.0).alias(f"w{k}") for k in range(_N_COMMON + 1)])
-              .groupBy("lang").agg(F.array(*[F.sum(f"w{k}") for k in range(_N_COMMON + 1)]).alias("common")))
-    steps = F.transform("_q_chars", lambda n: F.floor(n / F.col("_q_length") * _STEPS).cast("int"))
-    shares = (df.select("_q_lang", F.posexplode(steps).alias("class", "step"))
-              .groupBy("_q_lang", "class", "step").agg(F.count("*").alias("n"))
-              .select(groups.alias("lang"), "class", "step", "n")
+    both = F.array(F.get("_q_chars", len(_CLASSES) - 1) + F.get("_q_chars", len(_CLASSES) + 1))
+    steps = F.transform(F.concat("_q_chars", both), lambda n, i: F.struct(
+        i.alias("class"), F.floor(n / F.col("_q_length") * _STEPS).cast("int").alias("step"), F.lit(1).cast("long").alias("n")))
+    words = F.transform("_q_common", lambda n, k: F.struct((k + _WORDS).alias("class"), F.lit(0).alias("step"), n.cast("long").alias("n")))
+    parts = F.when(F.col("n_words") >= MIN_COMMON_WORDS, F.concat(steps, words)).otherwise(steps)
+    counts = df.select("_q_lang", F.explode(parts).alias("p")).groupBy("_q_lang", "p.class", "p.step").agg(F.sum("p.n").alias("n")).checkpoint()
+    counts = (counts.select(F.explode(F.array_distinct(F.array("_q_lang", F.lit("")))).alias("lang"), "class", "step", "n")
               .groupBy("lang", "class", "step").agg(F.sum("n").alias("n")))
+    shares, pooled = counts.where(F.col("class") < _WORDS), counts.where(F.col("class") >= _WORDS)
     # at most 4097 steps a class: a window over (lang, class) sees a bounded number of rows
     totals = shares.groupBy("lang", "class").agg(F.sum("n").alias("docs"))
     ranked = shares.selectExpr("*", "sum(n) OVER (PARTITION BY lang, class ORDER BY step) AS upto")
     medians = (ranked.join(totals, ["lang", "class"]).where((F.col("upto") * 2 >= F.col("docs")) & (F.col("docs") >= MIN_REFERENCE))
-               .groupBy("lang", "class").agg(F.min("step").alias("step")))
-    chars = (medians.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("class", "step"))).alias("steps"))
-             .select("lang", F.transform("steps", lambda s: s["step"].cast("double")).alias("chars")))
-    return chars.join(pooled, "lang").select("lang", _normal(F.col("chars")).alias("chars"), _normal(F.col("common")).alias("common"))
+               .groupBy("lang", "class").agg(F.min("step").alias("value")))
+    in_order = lambda d: d.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("class", "value"))), lambda s: s["value"].cast("double")).alias("v"))
+    chars = in_order(medians).select("lang", "v")
+    common = in_order(pooled.select("lang", "class", F.col("n").alias("value"))).select("lang", F.col("v").alias("w"))
+    return chars.join(common, "lang", "left").select(
+        "lang", _normal(F.slice("v", 1, len(_CLASSES) + 2)).alias("chars"), _normal(_one_alphabet(F.col("v"))).alias("letters"), _normal(F.col("w")).alias("common"))
+
+
+def _one_alphabet(hist: Column) -> Column:
+    """Seven values (the classes, then foreign and plain letters together) without the two parts."""
+    foreign, plain = len(_CLASSES) - 1, len(_CLASSES) + 1
+    return F.filter(hist, lambda x, i: (i != foreign) & (i != plain))
 
 
 def _normal(hist: Column) -> Column:
@@ -124,18 +136,18 @@ def judge(docs: DataFrame) -> DataFrame:
 
     Columns of these names in ``docs`` are replaced.  Defined cases: a null or empty text has no
     words and fails the base rules; an unknown or null language is judged by the characters of all
-    documents together; equal rows get equal verdicts; an empty table gives an empty table; without
+    documents together, alphabets aside; equal rows get equal verdicts; an empty table gives an empty table; without
     enough documents for a reference only the base rules decide.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
+    ensure_checkpoint_dir(docs.sparkSession)
     docs = docs.drop(*names)
-    refs = references(docs)
-    general = refs.where("lang = ''").select(F.col("chars").alias("_q_all"))
-    refs = refs.where("lang <> ''").select(F.col("lang").alias("_q_ref"), F.col("chars").alias("_q_ref_chars"), F.col("common").alias("_q_ref_common")).checkpoint()
+    refs = references(docs).checkpoint()
+    overall = refs.where("lang = ''").select("letters").first()
+    letters = F.array(*map(F.lit, overall[0])) if overall else F.lit(None).cast("array<double>")
+    refs = refs.where("lang <> ''").select(F.col("lang").alias("_q_ref"), F.col("chars").alias("_q_ref_chars"), F.col("common").alias("_q_ref_common"))
     if refs.count() <= BROADCAST_LANGUAGES:  # one short row per language
         refs = F.broadcast(refs)
-    overall = general.first()
-    all_chars = F.array(*map(F.lit, overall[0])) if overall else F.lit(None).cast("array<double>")
     df = _base(docs)
     lines = F.filter(F.split("_q_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumns({
@@ -157,7 +169,9 @@ def judge(docs: DataFrame) -> DataFrame:
         "n_repeat_words": covered,
     }).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50))
     df = df.join(refs, F.col("_q_lang") == F.col("_q_ref"), "left")
-    char = F.when(F.col("_q_length") >= MIN_CHARS, js_distance(_normal(F.col("_q_chars")), F.coalesce("_q_ref_chars", all_chars)))
+    both = F.array(F.get("_q_chars", len(_CLASSES) - 1) + F.get("_q_chars", len(_CLASSES) + 1))
+    char = F.when(F.col("_q_length") >= MIN_CHARS, F.when(F.col("_q_ref_chars").isNotNull(), js_distance(_normal(F.col("_q_chars")), F.col("_q_ref_chars")))
+                  .otherwise(js_distance(_normal(_one_alphabet(F.concat("_q_chars", both))), letters)))
     word = F.when((F.col("n_words") >= MIN_COMMON_WORDS) & (F.size("_q_list") > 0), js_distance(_normal(F.col("_q_common")), F.col("_q_ref_common")))
     df = df.withColumns({"char_distance": char, "word_distance": word})
     far = F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False))
