@@ -164,18 +164,18 @@ def judge(docs: DataFrame) -> DataFrame:
     covered = F.aggregate(
         F.col("_q_starts"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
         lambda s, x: F.struct((s["n"] + x + 3 - F.greatest(s["end"], x)).alias("n"), (x + 3).alias("end")), lambda s: s["n"])
+    # the id keeps later filters on these columns above their projection; below it, the optimizer
+    # would copy the whole-text expressions into the filter, once for each place that uses them
+    once = F.monotonically_increasing_id() >= 0
     df = df.withColumns({
-        "n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"),
-        "n_repeat_words": covered,
+        "n_dup_lines": F.when(once, F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"),
+        "n_repeat_words": F.when(once, covered),
     }).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50))
     df = df.join(refs, F.col("_q_lang") == F.col("_q_ref"), "left")
     both = F.array(F.get("_q_chars", len(_CLASSES) - 1) + F.get("_q_chars", len(_CLASSES) + 1))
     char = F.when(F.col("_q_length") >= MIN_CHARS, F.when(F.col("_q_ref_chars").isNotNull(), js_distance(_normal(F.col("_q_chars")), F.col("_q_ref_chars")))
                   .otherwise(js_distance(_normal(_one_alphabet(F.concat("_q_chars", both))), letters)))
     word = F.when((F.col("n_words") >= MIN_COMMON_WORDS) & (F.size("_q_list") > 0), js_distance(_normal(F.col("_q_common")), F.col("_q_ref_common")))
-    df = df.withColumns({"char_distance": char, "word_distance": word})
+    df = df.withColumns({"char_distance": F.when(once, char), "word_distance": F.when(once, word)})
     far = F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False))
-    # the id keeps a later filter on ``kept`` above this projection; below it, the optimizer would
-    # copy the whole-text expressions into the filter, once for each place that uses them
-    once = F.monotonically_increasing_id() >= 0
     return df.withColumn("kept", ~F.col("base_failed") & ~far & once).drop(*[c for c in df.columns if c.startswith("_q_")])
