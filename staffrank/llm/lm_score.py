@@ -30,7 +30,7 @@ from staffrank.llm.words import WordTable, mix64
 
 MIN_COUNT = 2            # target occurrences of a vocabulary word
 MASS = 16.0              # weight of the word distribution in a bigram's estimate
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BUCKET_ENTRIES = 1 << 20
 
 _UNKNOWN, _START, _TOTAL = np.uint64(1), np.uint64(2), np.uint64(3)
@@ -39,6 +39,25 @@ _ANSWER = "shard int, kind int, bucket int, entries binary, target binary, backg
 RESULT = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Values byte by byte, all lowest bytes first: zero bytes lie together and compress away."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind=np.uint64) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _pack(entries: np.ndarray) -> bytes:
+    """Sorted entries as differences."""
+    return _planes(np.diff(entries, prepend=np.uint64(0)))
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(raw), dtype=np.uint64)
+
+
 def _ranges(entries: np.ndarray, bits: int):
     """(bucket, lo, hi) of sorted entries, for every bucket, empty ones too."""
     edge = np.searchsorted(entries >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(entries)])
@@ -46,8 +65,8 @@ def _ranges(entries: np.ndarray, bits: int):
 
 
 def _asks(shard: int, kind: int, entries: np.ndarray, target: np.ndarray, background: np.ndarray, bits: int) -> pd.DataFrame:
-    pack = lambda x: x.astype(np.uint32).tobytes()
-    rows = [(b, shard, kind, entries[i:j].tobytes(), pack(target[i:j]), pack(background[i:j])) for b, i, j in _ranges(entries, bits)]
+    count = lambda x: _planes(x.astype(np.uint32))
+    rows = [(b, shard, kind, _pack(entries[i:j]), count(target[i:j]), count(background[i:j])) for b, i, j in _ranges(entries, bits)]
     return pd.DataFrame(rows, columns=["bucket", "shard", "kind", "entries", "target", "background"])
 
 
@@ -75,18 +94,18 @@ def _answer(min_count: int):
         """One bucket of one kind.  Words: those of each shard that are in the vocabulary.  Counts:
         the sums of the entries of each shard, in its order."""
         words = pdf["kind"].iloc[0] == 0
-        lists = [np.frombuffer(x, dtype=np.uint64) for x in pdf["entries"]]
+        lists = [_unpack(x) for x in pdf["entries"]]
         entries, where = np.unique(np.concatenate(lists), return_inverse=True)
-        add = lambda c: np.bincount(where, np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in pdf[c]]), minlength=len(entries))
+        add = lambda c: np.bincount(where, np.concatenate([_from_planes(x, np.uint32) for x in pdf[c]]), minlength=len(entries))
         target, background = add("target"), add("background")
         known = target >= min_count
         cut = np.cumsum([len(x) for x in lists])[:-1]
         rows = []
         for shard, bucket, mine, at in zip(pdf["shard"], pdf["bucket"], lists, np.split(where, cut), strict=True):
             if words:
-                rows.append((shard, 0, bucket, mine[known[at]].tobytes(), b"", b"", int(known.sum())))
+                rows.append((shard, 0, bucket, _pack(mine[known[at]]), b"", b"", int(known.sum())))
             else:
-                rows.append((shard, 1, bucket, b"", target[at].astype(np.uint64).tobytes(), background[at].astype(np.uint64).tobytes(), 0))
+                rows.append((shard, 1, bucket, b"", _planes(target[at].astype(np.uint64)), _planes(background[at].astype(np.uint64)), 0))
         return pd.DataFrame(rows, columns=["shard", "kind", "bucket", "entries", "target", "background", "vocabulary"])
 
     return answer
@@ -95,7 +114,7 @@ def _answer(min_count: int):
 def _entries(table: WordTable, told: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Entry values of each word's bigram, context and own count, after the vocabulary."""
     told = told[told["kind"] == 0]
-    vocabulary = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in told["entries"]] or [np.zeros(0, np.uint64)]))
+    vocabulary = np.sort(np.concatenate([_unpack(x) for x in told["entries"]] or [np.zeros(0, np.uint64)]))
     token = np.full(len(table.hash), _UNKNOWN)
     if len(vocabulary):
         at = np.minimum(np.searchsorted(vocabulary, table.hash), len(vocabulary) - 1)
@@ -106,13 +125,20 @@ def _entries(table: WordTable, told: pd.DataFrame) -> tuple[np.ndarray, np.ndarr
     return mix64(a * np.uint64(3) + b), a, b
 
 
+def _distinct(table: WordTable, told: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct entries, and the places in them of all bigrams, contexts, words and, last, the total."""
+    entries, where = np.unique(np.concatenate((*_entries(table, told), [_TOTAL])), return_inverse=True)
+    return entries, where
+
+
 def _ask_counts(bits: int):
     def ask(key, pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         _, table, target = _read(pdf)
-        bigram, context, word = _entries(table, told)
-        total = np.full(len(word), _TOTAL)
-        entries, where = np.unique(np.concatenate((bigram, context, word, total)), return_inverse=True)
-        return _asks(key[0], 1, entries, np.bincount(where[np.tile(target, 4)], minlength=len(entries)), np.bincount(where, minlength=len(entries)), bits)
+        entries, where = _distinct(table, told)
+        counts = np.bincount(where[:-1], minlength=len(entries))
+        chosen = np.bincount(where[:-1][np.tile(target, 3)], minlength=len(entries))
+        counts[where[-1]], chosen[where[-1]] = len(target), int(target.sum())
+        return _asks(key[0], 1, entries, chosen, counts, bits)
 
     return ask
 
@@ -120,20 +146,18 @@ def _ask_counts(bits: int):
 def _counts(told: pd.DataFrame, model: str) -> np.ndarray:
     """Totals of the shard's entries: buckets in order are entries in order."""
     told = told[told["kind"] == 1].sort_values("bucket")
-    return np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in told[model]]).astype(np.float64)
+    return np.concatenate([_from_planes(x) for x in told[model]]).astype(np.float64)
 
 
 def _score(mass: float):
     def score(key, pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         docs, table, _ = _read(pdf)
-        bigram, context, word = _entries(table, told)
-        total = np.full(min(1, len(word)), _TOTAL)
-        entries, where = np.unique(np.concatenate((bigram, context, word, total)), return_inverse=True)
-        n, size = len(word), int(told.loc[told["kind"] == 0, "vocabulary"].sum()) + 1
+        _, where = _distinct(table, told)
+        n, size = len(table.hash), int(told.loc[told["kind"] == 0, "vocabulary"].sum()) + 1
         loss = {}
         for model in ("target", "background"):
             count = _counts(told, model)[where]
-            base = (count[2 * n: 3 * n] + 1) / ((count[3 * n] if n else 0) + size)
+            base = (count[2 * n: 3 * n] + 1) / (count[3 * n] + size)
             p = (count[:n] + mass * base) / (count[n: 2 * n] + mass)
             loss[model] = np.bincount(table.doc, -np.log2(p), minlength=len(docs))
         with np.errstate(invalid="ignore", divide="ignore"):
