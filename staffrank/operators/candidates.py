@@ -71,7 +71,7 @@ def rank_within(df: DataFrame, group: str, order: list, out: str) -> DataFrame:
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wo), F.lit(0))).drop("_n")
     wl = Window.partitionBy("_pid", group).orderBy(*order)
     j = r.join(offs, ["_pid", group])
-    return j.withColumn(out, (F.col("_off") + F.row_number().over(wl)).cast("int")).drop("_pid", "_off")
+    return j.withColumn(out, (F.col("_off") + F.row_number().over(wl)).cast("bigint")).drop("_pid", "_off")
 
 
 def global_top(activity: DataFrame, k: int, by: list[str] | None = None) -> DataFrame:

@@ -64,26 +64,33 @@ def k2(d):
     return snap.select("id", "shift_id", "user_id", "interaction", "ts")
 
 
-@register("k3_dedup_stream")
+@register("k3_dedup_stream", with_(ADAPTER) + """,
+rep AS (SELECT CAST(CAST(id AS BIGINT) % 7000 AS VARCHAR) AS id, CAST(id AS BIGINT) AS seq, shift_id,
+               user_id, interaction, ts FROM ev)
+SELECT id, seq, shift_id, user_id, interaction, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts, seq) AS rn FROM rep) q WHERE rn = 1""")
 def k3(d):
-    """Replayed ids (event_id % 7000) de-duplicated first-wins within 30 days of event time."""
+    """Replayed ids (event_id % 7000) de-duplicated, first event time wins."""
     spark = d.users.sparkSession
     ws = K.workspace(spark, "dedup")
     e = (d.events.withColumn("seq", F.col("id").cast("bigint"))
          .withColumn("id", (F.col("seq") % 7000).cast("string")))
     src = K.stage_events(e, f"{ws}/source")
-    out = K.dedup_stream(K.read_stream(spark, src), "30 days", f"{ws}/sink", f"{ws}/checkpoint")
-    return spark.read.parquet(out).select("id", "seq", "shift_id", "user_id", "interaction", "ts")
+    out = K.dedup_stream(K.read_stream(spark, src), f"{ws}/store", f"{ws}/checkpoint")
+    return out.select("id", "seq", "shift_id", "user_id", "interaction", "ts")
 
 
-@register("k4_daily_funnel")
+@register("k4_daily_funnel", with_(ADAPTER) + """,
+w AS (SELECT date_trunc('day', ts)::TIMESTAMP AS a, interaction, count(*) AS n FROM ev WHERE ts IS NOT NULL GROUP BY ALL)
+SELECT strftime(a, '%Y-%m-%d %H:%M:%S.%f') AS window_start,
+       strftime(a + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S.%f') AS window_end, interaction, CAST(n AS BIGINT) AS rows
+FROM w WHERE a + INTERVAL 1 DAY <= (SELECT max(ts) FROM ev) - INTERVAL 1 HOUR""")
 def k4(d):
     """Daily interaction funnel with a 1-hour late-data bound (closed windows only)."""
     spark = d.users.sparkSession
     ws = K.workspace(spark, "funnel")
     src = K.stage_events(d.events, f"{ws}/source")
-    out = K.daily_funnel(K.read_stream(spark, src), "1 hour", f"{ws}/sink", f"{ws}/checkpoint")
-    return spark.read.parquet(out)
+    return K.daily_funnel(K.read_stream(spark, src), "1 hour", f"{ws}/store", f"{ws}/checkpoint")
 
 
 @register("k5_running_pair_counts", with_(ADAPTER, _PAIR_SQL.format(src="ev")) + """

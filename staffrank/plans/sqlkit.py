@@ -16,17 +16,6 @@ users AS (
          c_acctbal >= 5000 AS has_mk
   FROM customer),
 shifts AS (
-  SELECT 's_' || CAST(p_partkey AS VARCHAR) AS id,
-         TIMESTAMP '2024-01-05 06:00:00' + to_days(CAST(p_partkey % 25 AS INTEGER))
-           + to_hours(CAST(p_partkey % 12 AS INTEGER)) AS start_at,
-         'loc_' || CAST(p_partkey % 25 AS VARCHAR) AS location_id,
-         p_type AS task_type, p_brand AS employer_id,
-         'w_' || CAST(p_partkey % 40 AS VARCHAR) AS workplace_id,
-         p_size % 3 = 0 AS need_mk, p_size % 2 = 0 AS id_differential,
-         CAST(4 + p_size % 9 AS INTEGER) AS hours, CAST(p_retailprice AS DOUBLE) AS reward,
-         CAST(1 + p_partkey % 12 AS INTEGER) AS capacity
-  FROM part WHERE p_partkey < 100),
-shifts_all AS (
   SELECT 's_' || CAST(p_partkey AS VARCHAR) AS id,
          TIMESTAMP '2024-01-05 06:00:00' + to_days(CAST(p_partkey % 25 AS INTEGER))
            + to_hours(CAST(p_partkey % 12 AS INTEGER)) AS start_at,

@@ -153,7 +153,6 @@ def read_apply(spark: SparkSession, path: str, fmt: str | None = None) -> DataFr
 # ---------------------------------------------------------------------------------------------
 
 # Fixed values of the mapping.
-SHIFT_PARTKEY_BOUND = 100
 SHIFT_EPOCH = "2024-01-05 06:00:00"
 EVENT_TYPE_TO_INTERACTION = {"click": "APPLY", "purchase": "FINISHED", "signup": "USER_CANCEL"}
 
@@ -167,12 +166,9 @@ def testdata_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_acctbal") >= 5000).alias("has_mk"))
 
 
-def testdata_shifts(spark: SparkSession, sf_dir: str, bounded: bool = True) -> DataFrame:
-    """Shifts from ``part``; ``bounded`` keeps the keys events can reference (k < 100), the
-    unbounded table (every part row) feeds the shift-only profiles so they grow with the data."""
+def testdata_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shifts from every row of ``part``."""
     p = read_raw(spark, sf_dir, "part")
-    if bounded:
-        p = p.where(F.col("p_partkey") < SHIFT_PARTKEY_BOUND)
     start = F.expr(f"timestamp_ntz'{SHIFT_EPOCH}' + make_dt_interval("
                    "CAST(p_partkey % 25 AS INT), CAST(p_partkey % 12 AS INT), 0, 0)")
     return p.select(
@@ -210,10 +206,9 @@ class Domain:
     shifts: DataFrame
     events: DataFrame
     sf_dir: str = ""
-    all_shifts: DataFrame | None = None
 
 
 def testdata_domain(spark: SparkSession, sf_dir: str) -> Domain:
     ensure_utc(spark)
     return Domain(testdata_users(spark, sf_dir), testdata_shifts(spark, sf_dir),
-                  testdata_events(spark, sf_dir), sf_dir, testdata_shifts(spark, sf_dir, bounded=False))
+                  testdata_events(spark, sf_dir), sf_dir)

@@ -170,27 +170,48 @@ def stream_upsert(stream: DataFrame, root: str, checkpoint: str, keys: list[str]
 
 # ------------------------------------------------------------------------------------- K3
 
-def dedup_stream(stream: DataFrame, bound: str, sink: str, checkpoint: str) -> str:
-    """K3: first-wins de-dup of replayed event ids within ``bound`` of event time."""
-    d = (stream.withColumn("ts_l", F.col("ts").cast("timestamp")).withWatermark("ts_l", bound)
-         .dropDuplicatesWithinWatermark(["id"]).drop("ts_l"))
-    _run(d.drop("day").writeStream.format("parquet").option("path", sink).outputMode("append"),
-         checkpoint)
-    return sink
+def dedup_stream(stream: DataFrame, root: str, checkpoint: str, order: tuple[str, ...] = ("ts", "seq")) -> DataFrame:
+    """K3: first-wins de-dup of replayed event ids; returns one row per id, the smallest by ``order``.
+
+    The store keeps the first row per id over base and deltas, so the result does not depend on the
+    order in which files or batches arrive. Rows without an id cannot repeat and are dropped."""
+    def first(df: DataFrame) -> DataFrame:
+        rest = [c for c in df.columns if c not in (*order, "id")]
+        return (df.groupBy("id").agg(F.min(F.struct(*order, *rest)).alias("r"))
+                .select("id", "r.*").select(*df.columns))
+
+    store = DeltaStore(stream.sparkSession, root, first)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.commit(first(batch.drop("day").where(F.col("id").isNotNull())), batch_id)
+
+    _run(stream.writeStream.foreachBatch(write), checkpoint)
+    return store.current()
 
 
 # ------------------------------------------------------------------------------------- K4
 
-def daily_funnel(stream: DataFrame, bound: str, sink: str, checkpoint: str) -> str:
-    """K4: daily tumbling window counts per interaction; a window is emitted once the watermark
-    (max event time - ``bound``) passes its end; rows later than the watermark are dropped."""
-    agg = (stream.withColumn("ts_l", F.col("ts").cast("timestamp")).withWatermark("ts_l", bound)
-           .groupBy(F.window("ts_l", "1 day").alias("w"), "interaction")
-           .agg(F.count(F.lit(1)).alias("rows")))
-    out = agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), "interaction", "rows")
-    _run(out.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
-    return sink
+def daily_funnel(stream: DataFrame, bound: str, root: str, checkpoint: str) -> DataFrame:
+    """K4: daily tumbling window counts per interaction; returns the windows that are closed: their
+    end lies ``bound`` or more before the newest event time.
+
+    Each micro-batch adds its own partial counts (additive, exactly once by batch id), so no row is
+    late: files may arrive in any order, as in a replay that many tasks have written."""
+    spark = stream.sparkSession
+    counts = DeltaStore(spark, f"{root}/counts", lambda df: df.groupBy("window_start", "window_end", "interaction")
+                        .agg(F.sum("rows").alias("rows"), F.max("newest").alias("newest")))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.where(F.col("ts").isNotNull()).withColumn("w", F.window(F.col("ts").cast("timestamp"), "1 day"))
+        counts.commit(b.groupBy(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                                F.col("w.end").cast("timestamp_ntz").alias("window_end"), "interaction")
+                      .agg(F.count(F.lit(1)).alias("rows"), F.max("ts").alias("newest")), batch_id)
+
+    _run(stream.writeStream.foreachBatch(write), checkpoint)
+    state = counts.current()
+    newest = state.agg(F.max("newest")).first()[0]
+    closed = F.col("window_end") <= F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {bound}")
+    return state.where(closed).select("window_start", "window_end", "interaction", "rows")
 
 
 # ------------------------------------------------------------------------------------- K5

@@ -14,6 +14,7 @@ from staffrank.sources.tables import testdata_domain as load_domain
 
 Q = E.queries()
 SF = "/root/testdata/sf0.01"
+SF_STREAM = SF
 
 
 def test_candidate_invariants(spark):
@@ -22,7 +23,7 @@ def test_candidate_invariants(spark):
                                     F.count_distinct("user_id").alias("u"))
     bad = per.where((F.col("n") > 300) | (F.col("mx") != F.col("n")) | (F.col("u") != F.col("n")))
     assert bad.count() == 0
-    assert per.count() == 100
+    assert per.count() == load_domain(spark, SF).shifts.count()
 
 
 def test_positives_and_negatives_disjoint(spark):
@@ -80,26 +81,36 @@ def test_models_rank_better_than_chance(spark, name):
     assert G.auc(scored) > 0.5
 
 
-def test_streaming_funnel_equals_batch_on_closed_windows(spark):
-    got = Q["k4_daily_funnel"](spark, SF_SMALL)
-    d = load_domain(spark, SF_SMALL)
-    mx = d.events.agg(F.max("ts")).first()[0]
+def _shuffled_source(spark, name: str, replay: int | None = None) -> str:
+    """The events of sf0.01 staged by 16 tasks in random order, so that files are not in time order."""
+    from staffrank.streaming import jobs as K
+    e = load_domain(spark, SF_STREAM).events.withColumn("seq", F.col("id").cast("bigint"))
+    if replay:
+        e = e.withColumn("id", (F.col("seq") % replay).cast("string"))
+    return K.stage_events(e.repartition(16, F.rand(3)), f"{K.workspace(spark, name)}/source")
+
+
+def test_streaming_funnel_of_a_shuffled_source_equals_batch(spark):
+    from staffrank.streaming import jobs as K
+    src = _shuffled_source(spark, "funnel-test")
+    got = K.daily_funnel(K.read_stream(spark, src, 200), "1 hour", f"{src}-store", f"{src}-checkpoint")
+    d = load_domain(spark, SF_STREAM)
+    newest = d.events.agg(F.max("ts")).first()[0]
     import datetime as dt
-    wm = mx - dt.timedelta(hours=1)
     batch = (d.events.groupBy(F.to_date("ts").alias("day"), "interaction").agg(F.count(F.lit(1)).alias("rows"))
-             .where(F.date_add("day", 1).cast("timestamp_ntz") <= F.lit(wm)))
+             .where(F.date_add("day", 1).cast("timestamp_ntz") <= F.lit(newest - dt.timedelta(hours=1))))
     g = got.select(F.to_date("window_start").alias("day"), "interaction", "rows")
     assert g.exceptAll(batch).count() == 0 and batch.exceptAll(g).count() == 0
 
 
-def test_streaming_dedup_keeps_first_within_bound(spark):
-    got = Q["k3_dedup_stream"](spark, SF_SMALL)
-    assert got.groupBy("id").count().where(F.col("count") > 1).count() == 0
-    d = load_domain(spark, SF_SMALL)
-    first = (d.events.withColumn("seq", F.col("id").cast("bigint"))
-             .withColumn("id", (F.col("seq") % 7000).cast("string"))
-             .groupBy("id").agg(F.min("seq").alias("seq")))
-    assert got.select("id", "seq").exceptAll(first).count() == 0
+def test_streaming_dedup_of_a_shuffled_source_keeps_the_first(spark):
+    from staffrank.streaming import jobs as K
+    src = _shuffled_source(spark, "dedup-test", replay=700)
+    got = K.dedup_stream(K.read_stream(spark, src, 200), f"{src}-store", f"{src}-checkpoint")
+    first = (load_domain(spark, SF_STREAM).events.withColumn("seq", F.col("id").cast("bigint"))
+             .groupBy((F.col("seq") % 700).cast("string").alias("id")).agg(F.min(F.struct("ts", "seq")).alias("f"))
+             .select("id", "f.seq"))
+    assert got.count() == 700 and got.select("id", "seq").exceptAll(first).count() == 0
 
 
 def test_delta_store_compaction_replay_and_restart(spark):
