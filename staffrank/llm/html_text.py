@@ -173,7 +173,22 @@ def merge(a: Node, b: Node) -> Node:
     return node
 
 
+def _grouped(nodes: list[Node], others: list[Node]) -> list[Node]:
+    """``nodes`` with runs that spell a group of ``others`` made into such a group."""
+    out = list(nodes)
+    for spelling in {tuple(c.key for c in o.children) for o in others if o.key == "()"}:
+        n, k = len(spelling), 0
+        while k + n <= len(out):
+            if tuple(c.key for c in out[k: k + n]) == spelling:
+                while (merged := _absorb(out, n, k)) is not None:
+                    out[k: k + 2 * n] = merged
+                out[k: k + n] = [Node("()", out[k: k + n], repeated=True)]
+            k += 1
+    return out
+
+
 def align(xs: list[Node], ys: list[Node]) -> list[Node]:
+    xs, ys = _grouped(xs, ys), _grouped(ys, xs)
     if len(xs) == len(ys) and all(x.key == y.key for x, y in zip(xs, ys, strict=True)):
         return [merge(x, y) for x, y in zip(xs, ys, strict=True)]
     n, m = len(xs), len(ys)
