@@ -18,6 +18,7 @@ from staffrank.llm.decontaminate import with_hits
 from staffrank.llm.line_dedup import remove_boilerplate
 from staffrank.llm.quality import judge
 from staffrank.llm.simhash import near_duplicates, with_fingerprint
+from staffrank.llm.words import fresh
 from staffrank.session import shared_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -47,21 +48,24 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     again = again.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     kept = stays.unionByName(again)
     if not groups.where("component_id IS NULL").isEmpty():
-        lone = with_fingerprint(docs.where("doc_id IS NULL"), "_fp").withColumn("_hex", F.lower(F.lpad(F.hex("_fp"), 16, "0")))
-        lone = lone.join(groups.where("component_id IS NULL").select("fingerprint").distinct(), F.col("_hex") == F.col("fingerprint"), "left_semi")
+        out, named = fresh("_fp", docs.columns), fresh("_hex", docs.columns)
+        lone = with_fingerprint(docs.where("doc_id IS NULL"), out)
+        lone = lone.join(groups.where("component_id IS NULL").select(F.col("fingerprint").alias(named)).distinct(),
+                         F.lower(F.lpad(F.hex(out), 16, "0")) == F.col(named), "left_semi")
         kept = kept.unionByName(lone.select(*docs.columns).dropDuplicates())
     return kept.select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
-    hits = with_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "_hit")
-    return hits.where("NOT _hit.contaminated").select(*docs.columns)
+    out = fresh("_hit", docs.columns)
+    hits = with_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out)
+    return hits.where(f"NOT {out}.contaminated").select(*docs.columns)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the bytes they decode to."""
-    coded = encode_documents(docs, RANKS, public_tokenizers.PATTERN, "_bpe")
+    coded = encode_documents(docs.select("doc_id", "text", "lang", "source"), RANKS, public_tokenizers.PATTERN, "_bpe")
     return coded.select(
         "doc_id", "lang", "source", F.size("_bpe.ids").cast("long").alias("n_tokens"), F.col("_bpe.ids").alias("ids"),
         F.sha2(F.array_join(F.col("_bpe.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

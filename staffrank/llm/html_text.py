@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffrank.llm.url_filter import host_of
+from staffrank.llm.words import fresh
 from staffrank.session import ensure_checkpoint_dir
 
 MIN_TEMPLATE_PAGES = 3       # pages that must share a text before it counts as template
@@ -367,8 +368,9 @@ def extract_text(pages: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(pages.sparkSession)
     pages = pages.drop("text")
     host = host_of(F.col("url").cast("string"))
-    wrappers = infer_wrappers(pages, host).select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"), F.col("pages").alias("_pages")).checkpoint()
-    size = wrappers.agg(F.sum(F.length("_wrapper") + F.length("_host") + 32)).first()[0] or 0
+    of_host, wrapper, count = (fresh(n, pages.columns) for n in ("_host", "_wrapper", "_pages"))
+    wrappers = infer_wrappers(pages, host).toDF(of_host, wrapper, count).checkpoint()
+    size = wrappers.agg(F.sum(F.length(wrapper) + F.length(of_host) + 32)).first()[0] or 0
     side = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
-    joined = pages.join(side, host == F.col("_host"), "left")
-    return joined.withColumn("text", F.coalesce(_extractor()(F.col("html").cast("string"), "_wrapper", "_pages"), F.lit(""))).drop("_host", "_wrapper", "_pages")
+    joined = pages.join(side, host == F.col(of_host), "left")
+    return joined.withColumn("text", F.coalesce(_extractor()(F.col("html").cast("string"), wrapper, count), F.lit(""))).drop(of_host, wrapper, count)

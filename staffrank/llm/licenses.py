@@ -22,6 +22,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staffrank.llm.words import fresh
 from staffrank.session import ensure_checkpoint_dir
 
 NONE, UNKNOWN = "none", "unknown"
@@ -33,7 +34,7 @@ _SEPARATOR = "[^a-z0-9]+"
 # Words of notices around which features are taken.
 MARKERS = ["license", "licensed", "licence", "licensing", "copyright", "rights", "reserved", "redistribution", "redistribute",
            "permission", "permitted", "apache", "bsd", "gnu", "mozilla", "commons", "attribution", "cc", "cc0", "spdx",
-           "unencumbered", "domain", "reproduced"]
+           "unencumbered", "domain", "reproduced", "released", "distributed"]
 
 # Short notices of each licence family ({x} is filled in by the rule below).
 TEMPLATES = {
@@ -79,7 +80,7 @@ OTHER = [
 _FILL = ("2019", "2024 the authors", "the project contributors")
 _BEFORE = ("", "", "Note: ", "License. ", "Copyright {x}. ")
 _AFTER = ("", "", " See the file for details.", " Thank you for reading.")
-_UNSEEN = [  # notices of families that the model does not know: held out, they set the threshold
+_UNSEEN = [  # notices of other families, for the unknown class: the first of each two is fitted, the second held out
     "Licensed under the Eclipse Public License 2.0.", "Released under the zlib License.", "This font is licensed under the SIL Open Font License, version 1.1.",
     "Licensed under the Artistic License 2.0.", "Distributed under the Boost Software License, version 1.0.", "Licensed under the European Union Public Licence.",
     "This file is licensed under the Academic Free License version 3.0.", "Released under the PostgreSQL License.", "Licensed under the ISC License.",
@@ -88,14 +89,15 @@ _UNSEEN = [  # notices of families that the model does not know: held out, they
 
 def training_rows() -> list[tuple[str, str, bool]]:
     """(paragraph, family, held out): every notice under all openings and endings; a fixed fifth, and
-    all unseen families, are held out.  A few hundred rows."""
+    half of the unknown families, are held out.  A few hundred rows."""
     fill, rows = cycle(_FILL), []
     for family, notices in [*TEMPLATES.items(), (NONE, OTHER), (UNKNOWN, _UNSEEN)]:
         for notice in notices:
             for before in _BEFORE:
                 for after in _AFTER:
                     text = (before + notice + after) if family != NONE or not before.startswith(("Lic", "Cop")) else notice + after
-                    rows.append((text.replace("{x}", next(fill)), family, family == UNKNOWN or len(rows) % 5 == 4))
+                    held = notices.index(notice) % 2 == 1 if family == UNKNOWN else len(rows) % 5 == 4
+                    rows.append((text.replace("{x}", next(fill)), family, held))
     return rows
 
 
@@ -132,8 +134,9 @@ class LicenseModel:
 
     def __init__(self, spark: SparkSession, regularisation: float = 1e-3, l1_share: float = 0.5):
         rows = spark.createDataFrame(training_rows(), "text string, family string, held boolean").coalesce(1)
-        rows = rows.withColumn("grams", _ngrams(_words(F.col("text")))).checkpoint()
-        self.classes = [NONE, *sorted(TEMPLATES)]
+        # a paragraph without a feature is no notice and is never scored
+        rows = rows.withColumn("grams", _ngrams(_words(F.col("text")))).where("size(grams) > 0").checkpoint()
+        self.classes = [NONE, UNKNOWN, *sorted(TEMPLATES)]
         number = F.element_at(F.create_map(*[x for i, c in enumerate(self.classes) for x in (F.lit(c), F.lit(float(i)))]), F.col("family"))
         fit = rows.where("NOT held").withColumn("label", number)
         counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=VOCABULARY).fit(fit)
@@ -144,7 +147,7 @@ class LicenseModel:
         known = [(self.classes.index(f), z) for f, z in held if f in self.classes]
         self.temperature = min((k / 4 for k in range(2, 25)), key=lambda t: -sum(math.log(max(1e-12, _softmax(z, t)[i])) for i, z in known))
         # the lowest limit at which the families named on held-out notices are right often enough
-        named = sorted(((max(_softmax(z, self.temperature)[1:]), self.classes[1 + max(range(len(z) - 1), key=lambda i: z[i + 1])] == f) for f, z in held if f != NONE), reverse=True)
+        named = sorted(((max(_softmax(z, self.temperature)[2:]), self.classes[max(range(2, len(z)), key=lambda i: z[i])] == f) for f, z in held if f != NONE), reverse=True)
         right, limit = 0, 1.0
         for k, (p, ok) in enumerate(named, 1):
             right += ok
@@ -164,16 +167,16 @@ class LicenseModel:
         # one-element arrays bind intermediate results, so that each is computed once
         powers = F.transform(F.array(z), lambda v: F.transform(v, lambda x: F.exp((x - F.array_max(v)) / self.temperature)))
         shares = F.transform(powers, lambda v: F.transform(v, lambda x: x / F.aggregate(v, F.lit(0.0), lambda a, y: a + y)))
-        best = F.transform(shares, lambda v: F.struct(F.get(v, 0).alias("none"), F.array_max(F.slice(v, 2, len(self.classes))).alias("p"), v.alias("v")))
+        best = F.transform(shares, lambda v: F.struct(F.get(v, 0).alias("none"), F.array_max(F.slice(v, 3, len(self.classes))).alias("p"), v.alias("v")))
         names = F.array(*map(F.lit, self.classes))
-        named = F.transform(best, lambda s: F.struct(s["none"].alias("none"), s["p"].alias("p"), F.element_at(names, F.array_position(F.slice(s["v"], 2, len(self.classes)), s["p"]).cast("int") + 1).alias("family")))
+        named = F.transform(best, lambda s: F.struct(s["none"].alias("none"), s["p"].alias("p"), F.element_at(names, F.array_position(F.slice(s["v"], 3, len(self.classes)), s["p"]).cast("int") + 2).alias("family")))
         templates = _constant({f: [_local_shingles(t) for t in ts] for f, ts in TEMPLATES.items()}, "map<string,array<array<string>>>")
         mine = _shingles(words)
         checked = F.transform(named, lambda s: F.struct(s["none"].alias("none"), s["p"].alias("p"), s["family"].alias("family"), F.array_max(F.transform(
             F.element_at(templates, s["family"]), lambda t: F.size(F.array_intersect(t, mine)) / F.size(t))).alias("similarity")))
         said = F.transform(checked, lambda s: F.struct(
             place.cast("int").alias("paragraph"),
-            F.when(s["none"] >= 0.5, NONE).when((s["p"] >= self.threshold) & (s["similarity"] >= CONFIRM), s["family"]).otherwise(UNKNOWN).alias("family"),
+            F.when((s["none"] >= 0.5) | ~F.exists(words, lambda w: F.array_contains(F.array(*map(F.lit, MARKERS)), w)), NONE).when((s["p"] >= self.threshold) & (s["similarity"] >= CONFIRM), s["family"]).otherwise(UNKNOWN).alias("family"),
             s["p"].alias("probability"), s["similarity"].alias("similarity")))
         return F.get(said, 0)
 
@@ -200,11 +203,12 @@ def scan(docs: DataFrame, model: LicenseModel | None = None) -> DataFrame:
     ensure_checkpoint_dir(docs.sparkSession)
     model = model or LicenseModel(docs.sparkSession)
     docs = docs.drop("n_paragraphs", "notices", "families")
+    paragraphs, candidates = fresh("_paragraphs", docs.columns), fresh("_candidates", docs.columns)
     lines = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    docs = docs.withColumn("_paragraphs", lines)
+    docs = docs.withColumn(paragraphs, lines)
     marked = lambda x: F.coalesce(*[F.when(F.lower(x).contains(m), True) for m in MARKERS], F.lit(False))
-    numbered = F.filter(F.transform("_paragraphs", lambda x, i: F.when(marked(x), F.struct(x.alias("x"), i.alias("i")))), lambda s: s.isNotNull())
-    docs = docs.withColumn("_candidates", numbered)
-    judged = F.filter(F.transform("_candidates", lambda s: model.judge(s["x"], s["i"])), lambda n: n["family"] != NONE)
-    docs = docs.withColumn("notices", judged).withColumn("n_paragraphs", F.size("_paragraphs").cast("long"))
-    return docs.withColumn("families", F.array_sort(F.array_distinct(F.col("notices.family")))).drop("_paragraphs", "_candidates")
+    numbered = F.filter(F.transform(paragraphs, lambda x, i: F.when(marked(x), F.struct(x.alias("x"), i.alias("i")))), lambda s: s.isNotNull())
+    docs = docs.withColumn(candidates, numbered)
+    judged = F.filter(F.transform(candidates, lambda s: model.judge(s["x"], s["i"])), lambda n: n["family"] != NONE)
+    docs = docs.withColumn("notices", judged).withColumn("n_paragraphs", F.size(paragraphs).cast("long"))
+    return docs.withColumn("families", F.array_sort(F.array_distinct(F.col("notices.family")))).drop(paragraphs, candidates)

@@ -50,19 +50,22 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     ``doc_id`` are one document; an empty table gives an empty table.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    docs = docs.select(*keep)
-    found = boilerplate(docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col(site).cast("string").alias("site")), min_sites)
+    # other columns travel in a struct, so that no name of theirs can clash
+    rows = docs.select(
+        "doc_id", F.col("text").cast("string").alias("text"), F.col(site).cast("string").alias("site"),
+        F.struct(F.col(f"`{site}`"), *[F.col(f"`{c}`") for c in keep if c not in ("doc_id", "text", site)]).alias("other"))
+    found = boilerplate(rows.select("doc_id", "text", "site"), min_sites)
     # for each document, the keys that it loses: never more than it has lines
-    lost = (_keyed_lines(docs.select("doc_id", "text", F.lit(None).alias("site"))).join(found, ["k1", "k2"])
+    lost = (_keyed_lines(rows.select("doc_id", "text", F.lit(None).alias("site"))).join(found, ["k1", "k2"])
             .where((F.col("doc_id") != F.col("first_id")) | F.col("doc_id").isNull() | F.col("first_id").isNull())
-            .groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("_lost")).withColumnRenamed("doc_id", "_lost_id"))
-    joined = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("_lost_id")), "left")
+            .groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("lost")).withColumnRenamed("doc_id", "lost_id"))
+    joined = rows.drop("site").join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")), "left")
     word = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
     key = lambda x: F.struct(F.xxhash64(x).alias("k1"), F.xxhash64(F.lit(1), x).alias("k2"))
-    lines = F.split("text", "\n")
-    joined = joined.withColumn("_lines", lines).withColumn("_kept", F.when(F.col("_lost").isNull(), F.col("_lines")).otherwise(
-        F.filter("_lines", lambda x: ~word(x) | ~F.array_contains("_lost", key(x)))))
+    joined = joined.withColumn("lines", F.split("text", "\n")).withColumn("kept", F.when(F.col("lost").isNull(), F.col("lines")).otherwise(
+        F.filter("lines", lambda x: ~word(x) | ~F.array_contains("lost", key(x)))))
+    column = {"doc_id": F.col("doc_id"), "text": F.array_join("kept", "\n")}
     return joined.select(
-        *[F.array_join("_kept", "\n").alias("text") if c == "text" else F.col(f"`{c}`") for c in keep],
-        F.coalesce(F.size(F.filter("_lines", word)), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("long").alias("n_removed"))
+        *[column.get(c, F.col("other").getField(c)).alias(c) for c in keep],
+        F.coalesce(F.size(F.filter("lines", word)), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("lines") - F.size("kept"), F.lit(0)).cast("long").alias("n_removed"))

@@ -142,6 +142,9 @@ def judge(docs: DataFrame) -> DataFrame:
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
     ensure_checkpoint_dir(docs.sparkSession)
     docs = docs.drop(*names)
+    # other columns travel in a struct, so that no name of theirs can clash
+    given = docs.columns
+    docs = docs.select("text", "lang", F.struct(F.col("lang"), *[F.col(f"`{c}`") for c in given if c not in ("text", "lang")]).alias("other"))
     refs = references(docs).checkpoint()
     overall = refs.where("lang = ''").select("letters").first()
     letters = F.array(*map(F.lit, overall[0])) if overall else F.lit(None).cast("array<double>")
@@ -178,4 +181,5 @@ def judge(docs: DataFrame) -> DataFrame:
     word = F.when((F.col("n_words") >= MIN_COMMON_WORDS) & (F.size("_q_list") > 0), js_distance(_normal(F.col("_q_common")), F.col("_q_ref_common")))
     df = df.withColumns({"char_distance": F.when(once, char), "word_distance": F.when(once, word)})
     far = F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False))
-    return df.withColumn("kept", ~F.col("base_failed") & ~far & once).drop(*[c for c in df.columns if c.startswith("_q_")])
+    df = df.withColumn("kept", ~F.col("base_failed") & ~far & once)
+    return df.select(*[F.col(c) if c in ("text", "lang") else F.col("other").getField(c).alias(c) for c in given], *names)

@@ -125,3 +125,11 @@ def slices(texts: list, chars: int = 1 << 21):
         size += n
     if texts:
         yield lo, len(texts)
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column of a table has it (names are compared without case)."""
+    taken = {c.lower() for c in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
