@@ -10,8 +10,8 @@ Vocabulary and counts are exact, cover every document and grow with the corpus,
 gathered: documents are dealt into shards of a few MB, and a shard asks for what it needs.
 
 1. *words*: each shard sends its distinct word hashes and their target counts, dealt into buckets by
-   leading bits; each bucket answers which of a shard's words are in the vocabulary, and how many
-   vocabulary words it has;
+   leading bits; each bucket answers with a bit for each word of a shard, set for the vocabulary,
+   and how many vocabulary words it has;
 2. *counts*: each shard sends its distinct bigrams, contexts and words with counts under both
    models; each bucket adds up and answers with the totals, in the order that the shard sent;
 3. *score*: each shard scores its documents.
@@ -21,6 +21,8 @@ A very frequent word or bigram is one entry per shard, whatever its count.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -49,6 +51,11 @@ def _from_planes(raw: bytes, kind=np.uint64) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def _squeeze(counts: np.ndarray) -> bytes:
+    """Counts are mostly small: a light entropy code takes them to a few bits each."""
+    return zlib.compress(_planes(counts), 1)
+
+
 def _pack(entries: np.ndarray) -> bytes:
     """Sorted entries as differences."""
     return _planes(np.diff(entries, prepend=np.uint64(0)))
@@ -65,7 +72,7 @@ def _ranges(entries: np.ndarray, bits: int):
 
 
 def _asks(shard: int, kind: int, entries: np.ndarray, target: np.ndarray, background: np.ndarray, bits: int) -> pd.DataFrame:
-    count = lambda x: _planes(x.astype(np.uint32))
+    count = lambda x: _squeeze(x.astype(np.uint32))
     rows = [(b, shard, kind, _pack(entries[i:j]), count(target[i:j]), count(background[i:j])) for b, i, j in _ranges(entries, bits)]
     return pd.DataFrame(rows, columns=["bucket", "shard", "kind", "entries", "target", "background"])
 
@@ -91,21 +98,21 @@ def _ask_words(bits: int):
 
 def _answer(min_count: int):
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One bucket of one kind.  Words: those of each shard that are in the vocabulary.  Counts:
+        """One bucket of one kind.  Words: which of each shard's are in the vocabulary.  Counts:
         the sums of the entries of each shard, in its order."""
         words = pdf["kind"].iloc[0] == 0
         lists = [_unpack(x) for x in pdf["entries"]]
         entries, where = np.unique(np.concatenate(lists), return_inverse=True)
-        add = lambda c: np.bincount(where, np.concatenate([_from_planes(x, np.uint32) for x in pdf[c]]), minlength=len(entries))
+        add = lambda c: np.bincount(where, np.concatenate([_from_planes(zlib.decompress(x), np.uint32) for x in pdf[c]]), minlength=len(entries))
         target, background = add("target"), add("background")
         known = target >= min_count
         cut = np.cumsum([len(x) for x in lists])[:-1]
         rows = []
         for shard, bucket, mine, at in zip(pdf["shard"], pdf["bucket"], lists, np.split(where, cut), strict=True):
             if words:
-                rows.append((shard, 0, bucket, _pack(mine[known[at]]), b"", b"", int(known.sum())))
+                rows.append((shard, 0, bucket, len(mine).to_bytes(4, "little") + np.packbits(known[at]).tobytes(), b"", b"", int(known.sum())))
             else:
-                rows.append((shard, 1, bucket, b"", _planes(target[at].astype(np.uint64)), _planes(background[at].astype(np.uint64)), 0))
+                rows.append((shard, 1, bucket, b"", _squeeze(target[at].astype(np.uint64)), _squeeze(background[at].astype(np.uint64)), 0))
         return pd.DataFrame(rows, columns=["shard", "kind", "bucket", "entries", "target", "background", "vocabulary"])
 
     return answer
@@ -113,12 +120,10 @@ def _answer(min_count: int):
 
 def _entries(table: WordTable, told: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Entry values of each word's bigram, context and own count, after the vocabulary."""
-    told = told[told["kind"] == 0]
-    vocabulary = np.sort(np.concatenate([_unpack(x) for x in told["entries"]] or [np.zeros(0, np.uint64)]))
-    token = np.full(len(table.hash), _UNKNOWN)
-    if len(vocabulary):
-        at = np.minimum(np.searchsorted(vocabulary, table.hash), len(vocabulary) - 1)
-        token = np.where(vocabulary[at] == table.hash, table.hash, _UNKNOWN)
+    told = told[told["kind"] == 0].sort_values("bucket")  # buckets in order are words in order
+    marks = [np.unpackbits(np.frombuffer(x, dtype=np.uint8, offset=4), count=int.from_bytes(x[:4], "little")) for x in told["entries"]]
+    known = np.concatenate(marks or [np.zeros(0, np.uint8)]).astype(bool)
+    token = np.where(known[np.unique(table.hash, return_inverse=True)[1]], table.hash, _UNKNOWN)
     before = np.roll(token, 1)
     before[table.first[table.n_words > 0]] = _START
     a, b = mix64(before + np.uint64(0x632BE59BD9B4E019)), mix64(token + np.uint64(0xD1B54A32D192ED03))
@@ -146,7 +151,7 @@ def _ask_counts(bits: int):
 def _counts(told: pd.DataFrame, model: str) -> np.ndarray:
     """Totals of the shard's entries: buckets in order are entries in order."""
     told = told[told["kind"] == 1].sort_values("bucket")
-    return np.concatenate([_from_planes(x) for x in told[model]]).astype(np.float64)
+    return np.concatenate([_from_planes(zlib.decompress(x)) for x in told[model]]).astype(np.float64)
 
 
 def _score(mass: float):
