@@ -37,10 +37,10 @@ def sample_key(seed: int = 42):
     return F.md5(F.concat_ws("|", F.col("user_id"), F.col("shift_id"), F.lit(str(seed))))
 
 
-def cap_negatives(neg: DataFrame, pos: DataFrame, ratio: int = 5, seed: int = 42) -> DataFrame:
+def cap_negatives(neg: DataFrame, pos: DataFrame, ratio: float = 5, seed: int = 42) -> DataFrame:
     """at most ``ratio`` x positives negatives, a reproducible seeded choice: the pairs with
     the smallest ``md5(user|shift|seed)`` keys (exact distributed selection, no single task)."""
-    k = pos.count() * ratio
+    k = int(pos.count() * ratio)
     if k <= 0:
         return neg.limit(0)
     keyed = neg.withColumn("_h", sample_key(seed))

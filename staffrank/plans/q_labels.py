@@ -54,10 +54,7 @@ def f4(d):
     """Seeded negative cap; ratio 0.5 so the cap binds on the test data (5 x would keep all)."""
     pos = L.positives(d.events, d.shifts)
     neg = L.negatives(d.events, pos)
-    k = pos.count() // 2
-    keyed = neg.withColumn("_h", L.sample_key(42))
-    from staffrank.operators.select import smallest_k
-    return smallest_k(keyed, "_h", int(k), ties=["user_id", "shift_id"]).drop("_h")
+    return L.cap_negatives(neg, pos, ratio=0.5)
 
 
 @register("f5_training_frame", with_(
