@@ -15,8 +15,9 @@ host, equal results meet in a distinct, and only the few different wrappers of a
 in salted groups first.  Wrappers hold structure and text digests, never page text.
 
 Extraction walks each page along its host's wrapper: texts in navigation, notices, forms and the
-like are left out by element and class; where the host marks articles only these are read; and
-outside of an article, texts that the wrapper found equal on all pages are template, not content.
+like are left out by element and class; texts that the wrapper found equal on all pages are template,
+inside and outside of articles; and the remaining, own texts choose the main region: the articles, if
+they hold at least half of the page's own text, otherwise the whole page.
 """
 
 from __future__ import annotations
@@ -52,6 +53,8 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 LEFT_OUT = frozenset("head nav footer aside form menu button select option label dialog".split())
 ARTICLE = frozenset(("article", "main"))
+NEVER_BY_WORD = ARTICLE | {"html", "body"}
+LAYOUT_WORDS = frozenset("no without has with".split())  # "no-sidebar", "has-sidebar" say how a page is laid out
 LEFT_OUT_WORDS = frozenset("ad ads advert adverts advertisement banner sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header notice notices cookie cookies consent comment comments reply replies promo sponsor sponsored share social related newsletter subscribe popup modal login search form toolbar pagination".split())
 _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -246,53 +249,62 @@ def expression(node: Node) -> str:
 
 def _left_out(key: str, in_article: bool) -> bool:
     name, *words = key.split(".")
-    return name in LEFT_OUT or (name == "header" and not in_article) or any(w in LEFT_OUT_WORDS for w in words)
+    if name in LEFT_OUT or (name == "header" and not in_article):
+        return True
+    return name not in NEVER_BY_WORD and any(w in LEFT_OUT_WORDS for w in words) and LAYOUT_WORDS.isdisjoint(words)
 
 
-def _has_article(node: Node) -> bool:
-    name = node.key.partition(".")[0]
-    if name in ARTICLE or (name not in ("", "()") and ".main" in node.key):
-        return True
-    return any(_has_article(c) for c in node.children if not _left_out(c.key, False))
+def _is_article(key: str) -> bool:
+    name, *words = key.split(".")
+    return name in ARTICLE or "main" in words
 
 
 def content(page: Node, wrapper: Node | None, pages: int) -> str:
     """Main text of a parsed page along its host's wrapper (None: by the page's own structure)."""
-    only_article = _has_article(page)
-    blocks: list[list[str]] = [[]]
+    blocks: list[list[tuple[str, bool, bool]]] = [[]]  # (text, template, in an article)
 
-    def known(at: Node | None) -> dict[str, list[Node]]:
-        found: dict[str, list[Node]] = {}
+    def known(at: Node | None) -> dict[str, list[tuple[Node, bool]]]:
+        found: dict[str, list[tuple[Node, bool]]] = {}
         for c in at.children if at is not None else ():
             for g in c.children if c.key == "()" else (c,):
-                found.setdefault(g.key, []).append(g)
+                found.setdefault(g.key, []).append((g, c.optional or g.optional))
         return found
 
-    def walk(node: Node, at: Node | None, inside: bool, in_article: bool) -> None:
+    def walk(node: Node, at: Node | None, always: bool, in_article: bool) -> None:
         slots = known(at)
         for c in node.children:
-            spot = slots.get(c.key)
+            spots = slots.get(c.key)
             if c.key == "#":
-                template = (not in_article and pages >= MIN_TEMPLATE_PAGES and spot is not None and len(spot) == 1 and spot[0].text is not None and not spot[0].optional)
-                if inside and not template:
-                    blocks[-1].append(c.text)
+                # what stands on some pages only was not compared with all of them
+                template = always and spots is not None and len(spots) == 1 and spots[0][0].text is not None and not spots[0][1]
+                blocks[-1].append((c.text, template, in_article))
                 continue
-            name = c.key.partition(".")[0]
             if _left_out(c.key, in_article):
                 blocks.append([])
                 continue
-            here = in_article or name in ARTICLE or ".main" in c.key
+            name = c.key.partition(".")[0]
             block = name not in INLINE
             if block:
                 blocks.append([])
             elif name == "br":
-                blocks[-1].append(" ")
-            walk(c, spot.pop(0) if spot and len(spot) > 1 else spot[0] if spot else None, inside or (here and only_article), here)
+                blocks[-1].append((" ", False, in_article))
+            spot, optional = (spots.pop(0) if len(spots) > 1 else spots[0]) if spots else (None, True)
+            walk(c, spot, always and not optional, in_article or _is_article(c.key))
             if block:
                 blocks.append([])
 
-    walk(page, wrapper, not only_article, False)
-    return "\n".join(t for t in (" ".join("".join(b).split()) for b in blocks) if t)
+    walk(page, wrapper, pages >= MIN_TEMPLATE_PAGES, False)
+    own = [0, 0]
+    marked = False
+    for text, template, here in (t for b in blocks for t in b):
+        size = sum(map(len, text.split()))
+        own[here] += 0 if template else size
+        marked = marked or (here and size > 0)
+    only_article = marked and own[True] >= own[False]
+    # an article that all pages of a host share has no own text: it is read whole
+    whole = only_article and not own[True]
+    kept = (" ".join("".join(t for t, template, here in b if (here or not only_article) and (whole or not template)).split()) for b in blocks)
+    return "\n".join(t for t in kept if t)
 
 
 def _dump(node: Node) -> str:

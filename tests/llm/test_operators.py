@@ -474,6 +474,28 @@ def test_html_edges(spark):
     assert extract_text(df).count() == len(rows) and extract_text(df.limit(0)).count() == 0
 
 
+def test_html_main_region_is_chosen_by_the_wrapper(spark):
+    from staffrank.llm.html_text import extract_text
+
+    def texts(*pages):
+        rows = [(k, f"http://h{k if len(pages) == 1 else 0}/{k}", p) for k, p in enumerate(pages)]
+        return [r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+    # what all pages share is template inside an article too; a part of one page only is not
+    assert texts(*(f"<article><h3>Read also</h3><p>own n{k} text</p>{'<b>once</b>' * (k == 1)}</article>" for k in range(4))) == [
+        "own n0 text", "own n1 text\nonce", "own n2 text", "own n3 text"]
+    # the wrapper decides that a shared article is no main region, and keeps it where a host has nothing else
+    assert texts(*(f"<article>same long teaser on every page</article><div><p>own n{k}</p></div>" for k in range(4))) == [f"own n{k}" for k in range(4)]
+    assert texts(*["<article>one text</article>"] * 4) == ["one text"] * 4
+    assert texts("<article>teaser</article><div><p>the long text of the page itself</p></div>") == ["teaser\nthe long text of the page itself"]
+    # classes: of the page and the article themselves, and 'main' as a whole word
+    assert texts('<body class="no-sidebar"><p>kept</p></body>') == ["kept"]
+    assert texts('<div class="no-sidebar"><p>kept</p></div>') == ["kept"]
+    assert texts('<article class="post social"><p>kept</p></article>') == ["kept"]
+    assert texts('<div class="mainmenu">a b</div><p>the text of the page</p>') == ["a b\nthe text of the page"]
+    assert texts('<div class="x main">the text</div><p>out</p>') == ["the text"]
+
+
 def test_wrapper_is_a_union_free_expression():
     from staffrank.llm.html_text import expression, merge, parse, wrapper_of
 
