@@ -8,7 +8,9 @@
 * *unknown*: a paragraph that looks like a notice, but whose calibrated family probability is under
   the threshold, or which the template comparison does not confirm.  The temperature and the
   threshold come from held-out notices;
-* *template comparison*: the share of a template's three-word shingles that the paragraph holds.
+* *template comparison*: the share of a template's three-word shingles that the paragraph holds;
+* *headers* wrapped over lines: a marked line is compared both ways, joined with its neighbours up to
+  a blank line, with the whole wordings (:data:`HEADERS`).
 """
 
 from __future__ import annotations
@@ -34,16 +36,18 @@ _SEPARATOR = "[^a-z0-9]+"
 # Words of notices around which features are taken.
 MARKERS = ["license", "licensed", "licence", "licensing", "copyright", "rights", "reserved", "redistribution", "redistribute",
            "permission", "permitted", "apache", "bsd", "gnu", "mozilla", "commons", "attribution", "cc", "cc0", "spdx",
-           "unencumbered", "domain", "reproduced", "released", "distributed"]
+           "unencumbered", "domain", "reproduced", "released", "distributed", "copyrighted", "unlicense", "redistributions",
+           "vorbehalten", "lizenz", "lizenziert", "droits", "derechos", "licencia", "licenciado", "gemeinfrei"]
 
 # Short notices of each licence family ({x} is filled in by the rule below).
 TEMPLATES = {
     "apache": ["Licensed under the Apache License, Version 2.0.",
                "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
-               "This project is distributed under the Apache License 2.0.", "SPDX-License-Identifier: Apache-2.0"],
+               "This project is distributed under the Apache License 2.0.", "SPDX-License-Identifier: Apache-2.0",
+               "Lizenziert unter der Apache-Lizenz, Version 2.0.", "Distribué sous licence Apache, version 2.0.", "Distribuido bajo la licencia Apache, versión 2.0."],
     "mit": ["Released under the MIT License.", "This software is licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
-            "SPDX-License-Identifier: MIT"],
+            "SPDX-License-Identifier: MIT", "Veröffentlicht unter der MIT-Lizenz.", "Publié sous licence MIT.", "Publicado bajo la licencia MIT."],
     "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
             "This code is released under the BSD 3-Clause License.", "Use of this source code is governed by a BSD-style license.",
             "SPDX-License-Identifier: BSD-3-Clause"],
@@ -61,9 +65,22 @@ TEMPLATES = {
     "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
                  "Licensed under CC BY-NC-ND 4.0."],
     "public-domain": ["This work is in the public domain.", "Dedicated to the public domain under CC0 1.0.",
-                      "This is free and unencumbered software released into the public domain."],
-    "reserved": ["All rights reserved.", "Copyright {x}. All rights reserved.", "No part of this work may be reproduced without written permission of the publisher."],
+                      "This is free and unencumbered software released into the public domain.",
+                      "Released under The Unlicense.", "The Unlicense", "Dieses Werk ist gemeinfrei."],
+    "reserved": ["All rights reserved.", "Copyright {x}. All rights reserved.", "No part of this work may be reproduced without written permission of the publisher.",
+                 "Alle Rechte vorbehalten.", "Tous droits réservés.", "Todos los derechos reservados.", "This material is copyrighted."],
 }
+# Whole wordings that files carry wrapped over several lines.
+HEADERS = {
+    "apache": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program.",
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the GNU Lesser General Public License along with this library.",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+}
+AROUND = 3               # lines before and after a line with which a wrapped header is joined
+HEADER_SHINGLES = 3      # fewest shingles of a line that is part of a header
 # Paragraphs that are no notices, some close to them in words.
 OTHER = [
     "The committee met on Monday to discuss the new school building.", "Please read the general terms before you order.",
@@ -75,6 +92,8 @@ OTHER = [
     "La maison est dans la ville et le jardin est grand.", "Les enfants jouent dans la cour de l'école.", "El libro que me diste es muy bueno.",
     "La casa de mi padre es grande y blanca.", "The rights of the workers were discussed in the first part.", "He was released from prison under the new law.",
     "This page was last changed in May.", "Terms and conditions apply to the offer.", "With or without you the train leaves at noon.",
+    "Änderungen und Irrtum vorbehalten.", "Les droits de l'homme sont les mêmes pour tous.", "Los derechos de los niños son importantes.",
+    "Er hat die Lizenz als Trainer im Sommer verloren.", "Mi hermano tiene la licencia de conducir.", "The film was copyrighted and shown in many cities.",
     "Permission to land was granted at noon.", "The foundation gave money to the public school.",
 ]
 _FILL = ("2019", "2024 the authors", "the project contributors")
@@ -160,8 +179,9 @@ class LicenseModel:
         found = F.filter(F.transform(grams, lambda g: F.element_at(weights, g)), lambda w: w.isNotNull())
         return F.aggregate(found, F.array(*map(F.lit, self.intercept)), lambda z, w: F.zip_with(z, w, lambda a, b: a + b))
 
-    def judge(self, paragraph: Column, place: Column) -> Column:
-        """(place, family, probability, similarity) of one candidate paragraph; family none: no notice."""
+    def judge(self, paragraph: Column, place: Column, around: Column) -> Column:
+        """(place, family, probability, similarity) of one candidate paragraph; family none: no notice.
+        A line that is part of a header (see :func:`_header`) has the header's family."""
         words = _words(paragraph)
         z = self.logits(_ngrams(words))
         # one-element arrays bind intermediate results, so that each is computed once
@@ -178,7 +198,37 @@ class LicenseModel:
             place.cast("int").alias("paragraph"),
             F.when((s["none"] >= 0.5) | ~F.exists(words, lambda w: F.array_contains(F.array(*map(F.lit, MARKERS)), w)), NONE).when((s["p"] >= self.threshold) & (s["similarity"] >= CONFIRM), s["family"]).otherwise(UNKNOWN).alias("family"),
             s["p"].alias("probability"), s["similarity"].alias("similarity")))
-        return F.get(said, 0)
+        marked = F.exists(words, lambda w: F.array_contains(F.array(*map(F.lit, MARKERS)), w))
+        header = F.transform(F.array(F.when(marked, mine)), lambda m: F.when(m.isNotNull(), _header(m, around)))
+        return F.get(F.zip_with(said, header, lambda n, h: F.when(h.isNull() | ~n["family"].isin(NONE, UNKNOWN), n).otherwise(
+            F.struct(n["paragraph"], h["family"].alias("family"), n["probability"], h["similarity"].alias("similarity")))), 0)
+
+
+def _header(mine: Column, around: Column) -> Column:
+    """(similarity, family) of the header that a line with the shingles ``mine`` is part of, or null.
+    Containment goes both ways: the line's shingles lie in the header, and of the lines joined with
+    their neighbours, ``around``, either most lie in the header or they hold most of it."""
+    headers = _constant([{"family": f, "shingles": _local_shingles(t)} for f, t in HEADERS.items()], "array<struct<family:string,shingles:array<string>>>")
+    parts = F.filter(headers, lambda h: (F.size(mine) >= HEADER_SHINGLES) & (F.size(F.array_intersect(h["shingles"], mine)) >= CONFIRM * F.size(mine)))
+
+    def compared(ps: Column, joined: Column) -> Column:
+        each = F.transform(ps, lambda h: F.transform(F.array(F.size(F.array_intersect(h["shingles"], joined))), lambda n: F.struct(
+            (n / F.least(F.size(h["shingles"]), F.size(joined))).alias("similarity"), h["family"].alias("family")))[0])
+        return F.array_max(F.filter(each, lambda e: e["similarity"] >= CONFIRM))
+
+    found = lambda ps: F.when(F.size(ps) > 0, F.transform(F.array(_shingles(_words(around))), lambda joined: compared(ps, joined))[0])
+    return F.transform(F.array(parts), found)[0]
+
+
+def _around(raw: Column, at: Column) -> Column:
+    """The line ``at`` of ``raw`` with up to :data:`AROUND` lines on both sides, up to a line without
+    letters and digits, joined."""
+    border = r"\n[^\p{L}\p{N}\n]*(?=\n)"
+    before = F.array_join(F.slice(raw, F.greatest(at - AROUND, F.lit(0)) + 1, F.least(at, F.lit(AROUND))), "\n")
+    after = F.array_join(F.slice(raw, at + 2, AROUND), "\n")
+    before = F.regexp_replace(F.concat(F.lit("\n"), before, F.lit("\n")), "(?s)^.*" + border, "")
+    after = F.regexp_replace(F.concat(F.lit("\n"), after, F.lit("\n")), "(?s)" + border + ".*$", "")
+    return F.concat(before, F.lit(" "), F.get(raw, at), F.lit(" "), after)
 
 
 def _local_shingles(notice: str) -> list[str]:
@@ -204,11 +254,15 @@ def scan(docs: DataFrame, model: LicenseModel | None = None) -> DataFrame:
     model = model or LicenseModel(docs.sparkSession)
     docs = docs.drop("n_paragraphs", "notices", "families")
     paragraphs, candidates = fresh("_paragraphs", docs.columns), fresh("_candidates", docs.columns)
-    lines = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    # a column of its own: inside the lambdas below an expression would split the text again for each line
+    raw_lines = fresh("_lines", docs.columns)
+    docs = docs.withColumn(raw_lines, F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"))
+    raw = F.col(raw_lines)
+    lines = F.filter(F.transform(raw, lambda x, at: F.struct(x.alias("x"), at.alias("at"))), lambda s: s["x"].rlike(r"[^\x20\x09-\x0D]"))
     docs = docs.withColumn(paragraphs, lines)
     marked = lambda x: F.coalesce(*[F.when(F.lower(x).contains(m), True) for m in MARKERS], F.lit(False))
-    numbered = F.filter(F.transform(paragraphs, lambda x, i: F.when(marked(x), F.struct(x.alias("x"), i.alias("i")))), lambda s: s.isNotNull())
+    numbered = F.filter(F.transform(paragraphs, lambda x, i: F.when(marked(x["x"]), F.struct(x["x"].alias("x"), i.alias("i"), x["at"].alias("at")))), lambda s: s.isNotNull())
     docs = docs.withColumn(candidates, numbered)
-    judged = F.filter(F.transform(candidates, lambda s: model.judge(s["x"], s["i"])), lambda n: n["family"] != NONE)
+    judged = F.filter(F.transform(candidates, lambda s: model.judge(s["x"], s["i"], _around(raw, s["at"]))), lambda n: n["family"] != NONE)
     docs = docs.withColumn("notices", judged).withColumn("n_paragraphs", F.size(paragraphs).cast("long"))
-    return docs.withColumn("families", F.array_sort(F.array_distinct(F.col("notices.family")))).drop(paragraphs, candidates)
+    return docs.withColumn("families", F.array_sort(F.array_distinct(F.col("notices.family")))).drop(raw_lines, paragraphs, candidates)

@@ -443,6 +443,21 @@ def test_license_model_on_held_out_notices_and_edges(spark, edge):
     assert scan(edge.limit(0), model).count() == 0
 
 
+def test_license_headers_wrapped_and_other_languages(spark):
+    import textwrap
+
+    from staffrank.llm.licenses import HEADERS, LicenseModel, scan
+
+    rows = [(f"{f} {width}", prefix + f"\n{prefix}".join(textwrap.wrap(t, width)), f) for f, t in HEADERS.items() for width, prefix in ((72, ""), (60, " * "))]
+    rows += [(t, t, f) for t, f in (("Alle Rechte vorbehalten", "reserved"), ("Tous droits réservés", "reserved"), ("Todos los derechos reservados", "reserved"),
+                                    ("This material is copyrighted", "reserved"), ("The Unlicense", "public-domain"))]
+    # neighbours of another notice, or beyond a blank line, name nothing
+    rows += [("far", "This program is free software\n\n\nThe rights of the workers were discussed in the first part.", None)]
+    got = {r.k: r.families for r in scan(spark.createDataFrame(rows, "k string, text string, family string"), LicenseModel(spark)).collect()}
+    wrong = {k: got[k] for k, _, f in rows if (f is not None and f not in got[k]) or any(x not in (f, "unknown") for x in got[k])}
+    assert not wrong, wrong
+
+
 # ---- 4 HTML
 
 def test_html_query(spark, pages):
