@@ -139,3 +139,46 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@register
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.filter_audit import audit
+
+    return audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), FALSE)::INT AS mask,
+         coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic
+  FROM texts LEFT JOIN known USING (doc_id)),
+counted AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM judged GROUP BY ALL),
+letters AS (SELECT substr('ABCDE', i::INT, 1) AS letter, 1 << (i::INT - 1) AS bit FROM range(1, 6) r(i)),
+orders AS (
+  SELECT '' AS filter_order, 0 AS used UNION ALL
+  SELECT filter_order || letter, used + bit FROM orders JOIN letters ON used & bit = 0),
+steps AS (
+  SELECT filter_order, i::INT AS step, bit,
+         (SELECT coalesce(sum(b.bit), 0) FROM letters b WHERE strpos(filter_order, b.letter) < i)::INT AS before
+  FROM orders, range(1, 6) r(i), letters WHERE length(filter_order) = 5 AND substr(filter_order, i::INT, 1) = letter),
+cells AS (
+  SELECT part, filter_order, step, bit, sum(n) FILTER (mask & (before | bit) = 0) AS kept,
+         sum(n) FILTER (mask & before = 0 AND mask & bit <> 0) AS removed,
+         sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0) AS redundant, sum(n) FILTER (mask = bit) AS unique_fails,
+         sum(good) FILTER (mask & before = 0 AND mask & bit <> 0) AS good_lost,
+         sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0) AS toxic_lost
+  FROM counted, steps GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM cells
+"""
