@@ -182,3 +182,31 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
        coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
 FROM cells
 """
+
+
+@register
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.hard_negatives import mine, with_moved_labels
+
+    return mine(with_moved_labels(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")))
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS z
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, list_dot_product(a.z, b.z)::BIGINT AS score
+  FROM valid a JOIN valid b ON a.vec_id % 100 = 0 AND len(a.z) = len(b.z)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored
+  WHERE label = anchor_label AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER place)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE label <> anchor_label AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW place AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
