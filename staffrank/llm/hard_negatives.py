@@ -298,7 +298,7 @@ def mine(rows: DataFrame, every: int = EVERY, positives: int = POSITIVES, negati
          .write.mode("overwrite").parquet(f"{root}/found/block={b}"))
         sent.unpersist()
         told.unpersist()
-    return spark.read.schema(FOUND).parquet(f"{root}/found")
+    return spark.read.schema(FOUND).parquet(f"{root}/found").drop("block")
 
 
 def with_moved_labels(rows: DataFrame, every: int = 7, labels: int = 10) -> DataFrame:

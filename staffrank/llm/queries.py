@@ -194,9 +194,9 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op12_hard_negatives"] = """
 WITH valid AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS z
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS z
   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, list_dot_product(a.z, b.z)::BIGINT AS score
   FROM valid a JOIN valid b ON a.vec_id % 100 = 0 AND len(a.z) = len(b.z)),
@@ -210,3 +210,11 @@ WHERE label <> anchor_label AND 80 * positive_score <= 100 * score AND score <=
 WINDOW place AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
 QUALIFY rank <= 5
 """
+
+
+@register
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from staffrank.llm.language_id import identify
+
+    found = identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.round("language.score", 6).alias("score"))
