@@ -9,7 +9,8 @@ arrive later, so the audit is a Structured Streaming job over the files of the t
 * each task keeps the smallest id of a text as the only candidate and counts the others, which
   surely fail E, at once: a group of copies reaches the keyed state as one row for each task;
 * the state of a text holds its smallest id so far and what was counted for it.  A smaller id
-  retracts that count (-1 without E, +1 with E) and takes its place;
+  retracts that count (-1 without E, +1 with E) and takes its place.  Texts are dealt into buckets of
+  a few hundred by their digest, so that one call settles a bucket's texts together;
 * the micro-batch's changes, summed by part, mask and labels, are one folder of the counters.  A
   repeated micro-batch overwrites its own folder, so each change counts once.
 
@@ -26,9 +27,11 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from hashlib import sha256
 from itertools import permutations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,17 +43,27 @@ FILTERS = "ABCDE"
 COPY = 16  #: the bit of E
 #: micro-batches that a whole table is dealt into: each reads the labels once
 ROUNDS = 4
+TEXTS = 512  #: of one bucket of the state, on average
 LABELS = ["good", "toxic"]
 CHANGE = "part string, mask int, good boolean, toxic boolean, n long"
 
 
-def failed_by_text(text) -> F.Column:
-    """Bits 1, 2, 4 and 8 for the filters A to D, of a text that is not null."""
-    words = F.array_remove(F.split(text, r"[ \t-\r]+"), "")
-    n, distinct = F.size(words), F.size(F.array_distinct(words))
-    capitals = F.char_length(text) - F.char_length(F.regexp_replace(text, "[A-Z]+", ""))
-    tests = [n < 200, 100 * distinct < 50 * n, 100 * capitals > 2 * F.char_length(text), text.rlike(r"[#$%&*|]")]
-    return sum((F.when(t, F.lit(1 << i)).otherwise(0) for i, t in enumerate(tests)), F.lit(0))
+_CAPITALS = bytes(range(0x41, 0x5B))
+_LATER = bytes(range(0x80, 0xC0))  # bytes of a UTF-8 character after its first one
+
+
+def failed_by_text(text: bytes) -> int:
+    """Bits 1, 2, 4 and 8 for the filters A to D, of a text in UTF-8."""
+    words = text.split()  # bytes split at \x20 and \x09-\x0D only
+    n, capitals = len(words), len(text) - len(text.translate(None, _CAPITALS))
+    tests = (n < 200, 100 * len(set(words)) < 50 * n, 100 * capitals > 2 * len(text.translate(None, _LATER)),
+             len(text.translate(None, b"#$%&*|")) < len(text))
+    return sum(1 << i for i, t in enumerate(tests) if t)
+
+
+def _reduced(texts: pd.Series) -> pd.DataFrame:
+    """Digest and mask of each text."""
+    return pd.DataFrame({"key": [sha256(t).hexdigest() for t in texts], "mask": [failed_by_text(t) for t in texts]})
 
 
 def _candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,32 +89,27 @@ def _candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield sure[0].assign(key=own, doc_id=pd.array([None] * len(sure[0]), dtype="Int64"))[["key", "doc_id", *by, "n"]]
 
 
-def _settle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Changes of the counters by the new candidates of one text."""
-    changes = []
-    if key[0].startswith("#"):
-        for f in frames:
-            changes += zip(f.part, f["mask"], f.good, f.toxic, f.n, strict=True)
-    else:
-        least, held = None, []
-        if state.exists:
-            least, kept = state.get
-            held = [tuple(x) for x in json.loads(kept)]
-        for f in frames:
-            for i, *rest in zip(f.doc_id.tolist(), f.part, f["mask"].tolist(), f.good.tolist(), f.toxic.tolist(),
-                                f.n.tolist(), strict=True):
-                part, mask, good, toxic, n = rest
-                if least is None or i < least:
-                    for p, m, g, t, k in held:
-                        changes += [(p, m, g, t, -k), (p, m | COPY, g, t, k)]
-                    least, held = i, []
-                if i == least:
-                    held.append((part, mask, good, toxic, n))
-                    changes.append((part, mask, good, toxic, n))
-                else:
-                    changes.append((part, mask | COPY, good, toxic, n))
-        state.update((least, json.dumps(held)))
-    yield pd.DataFrame(changes, columns=["part", "mask", *LABELS, "n"])
+def _packed(held: pd.DataFrame) -> bytes:
+    table, out = pa.Table.from_pandas(held, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as w:
+        w.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def _settle(bucket: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Changes of the counters by the new candidates for the texts of one bucket."""
+    came, by = pd.concat(list(frames)).drop(columns="bucket"), ["part", "mask", *LABELS]
+    if bucket[0].startswith("#"):
+        yield came[[*by, "n"]]
+        return
+    came = came.assign(doc_id=came.doc_id.astype("int64"), new=True)
+    if state.exists:
+        held = pa.ipc.open_stream(state.get[0]).read_pandas()
+        came = pd.concat([held.assign(new=False), came[[*held.columns, "new"]]], ignore_index=True)
+    first = came.doc_id == came.groupby("key").doc_id.transform("min")
+    copy, back = came[~first], came[~first & ~came.new]
+    yield pd.concat([came[first & came.new], copy.assign(mask=copy["mask"] | COPY), back.assign(n=-back.n)])[[*by, "n"]]
+    state.update((_packed(came[first].groupby(["key", "doc_id", *by], as_index=False).n.sum()),))
 
 
 def read_documents(spark: SparkSession, path: str, rounds: int = ROUNDS) -> DataFrame:
@@ -112,26 +120,30 @@ def read_documents(spark: SparkSession, path: str, rounds: int = ROUNDS) -> Data
             .parquet(path.rstrip("/") + "*"))
 
 
-def count_masks(stream: DataFrame, labels: DataFrame, root: str) -> DataFrame:
+def count_masks(stream: DataFrame, labels: DataFrame, root: str, buckets: int) -> DataFrame:
     """Runs the stream to its end; rows (part, mask, good, toxic, n): documents by failed filters.
 
-    ``root`` is a shared folder: the stream's checkpoint and counters lie there, and a call with the
-    same folder goes on where the last one ended, with the files that are new since.
+    The state of the texts is kept in ``buckets`` groups.  ``root`` is a shared folder: the stream's
+    checkpoint and counters lie there, and a call with the same folder and number of buckets goes on
+    where the last one ended, with the files that are new since.
     """
     spark = stream.sparkSession
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic")).withColumn("salt", F.lit(0))
-    texts = stream.select("doc_id", F.coalesce("source", F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
+    reduced = F.pandas_udf(_reduced, "key string, mask int")
+    texts = stream.select("doc_id", F.coalesce("source", F.lit("")).alias("part"),
+                          reduced(F.coalesce("text", F.lit("")).cast("binary")).alias("t"))
     # rows without an id match no label; the salt deals them out over the join's tasks
     facts = texts.select(
-        "doc_id", "part", F.sha2("text", 256).alias("key"), failed_by_text(F.col("text")).alias("mask"),
-        F.when(F.col("doc_id").isNull(), F.spark_partition_id() + F.crc32("text") % 1000).otherwise(0).cast("int").alias("salt"))
+        "doc_id", "part", "t.key", "t.mask",
+        F.when(F.col("doc_id").isNull(), F.spark_partition_id() + F.crc32("t.key") % 1000).otherwise(0).cast("int").alias("salt"))
     told = facts.join(known, ["doc_id", "salt"], "left").select(
         "key", "doc_id", "part", "mask", *[F.coalesce(c, F.lit(False)).alias(c) for c in LABELS], F.lit(1).cast("long").alias("n"))
     row = "key string, doc_id long, " + CHANGE
-    changes = told.mapInPandas(_candidates, row).groupBy("key").applyInPandasWithState(
-        _settle, CHANGE, "least long, held string", "update", GroupStateTimeout.NoTimeout)
+    bucket = F.when(F.col("key").startswith("#"), F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("string"))
+    changes = told.mapInPandas(_candidates, row).withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
+        _settle, CHANGE, "held binary", "update", GroupStateTimeout.NoTimeout)
     by = ["part", "mask", *LABELS]
 
     def write(batch: DataFrame, number: int) -> None:
@@ -177,4 +189,5 @@ def report(counters: DataFrame) -> DataFrame:
 def audit(spark: SparkSession, path: str, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """The report of all documents in the Parquet files at ``path``."""
     root = shared_dir(spark, f"filter-audit-{uuid.uuid4().hex}")
-    return report(count_masks(read_documents(spark, path, rounds), labels, root))
+    buckets = 1 + spark.read.parquet(path).count() // TEXTS
+    return report(count_masks(read_documents(spark, path, rounds), labels, root, buckets))
