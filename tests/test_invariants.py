@@ -146,3 +146,24 @@ def test_exact_percentiles_equal_builtin(spark):
     assert set(got) == set(want)
     for g, r in want.items():
         assert all(abs(got[g][k] - r[k]) < 1e-9 for k in r.asDict() if k != "g")
+
+
+def test_percentiles_of_a_value_that_most_rows_share(spark):
+    from staffrank.operators import quantiles as Q
+    df = spark.range(0, 20000, numPartitions=8).select(
+        F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(7).cast("double").alias("x"),
+        F.lit(None).cast("double").alias("never"), (F.col("id") % 2 == 0).alias("g"),
+        F.when(F.col("id") == 5, F.lit(None)).otherwise(F.col("id") % 3).alias("y"))
+    # nine tenths of the rows are one row of the value table, so no task ranks them
+    assert Q.value_table(df, ["x"], []).count() == 2001
+    got = {r.column_name: r for r in Q.describe(df, ["x", "y", "never"], [0.0, 0.5, 0.95, 1.0], ["a", "b", "c", "d"]).collect()}
+    want = df.agg(*[F.percentile(c, p).alias(f"{c}{p}") for c in ("x", "y") for p in (0.0, 0.5, 0.95, 1.0)],
+                  *[f(c).alias(f"{f.__name__}_{c}") for c in ("x", "y") for f in (F.count, F.avg, F.stddev_samp)]).first()
+    for c in ("x", "y"):
+        r = got[c]
+        assert [r.a, r.b, r.c, r.d] == [want[f"{c}{p}"] for p in (0.0, 0.5, 0.95, 1.0)] and (r.min, r.max) == (r.a, r.d)
+        assert r["count"] == want[f"count_{c}"]
+        assert abs(r["mean"] - want[f"avg_{c}"]) < 1e-9 and abs(r["std"] - want[f"stddev_samp_{c}"]) < 1e-9
+    assert got["never"]["count"] == 0 and got["never"].b is None
+    med = {(r.g, r.p, r.q) for r in Q.exact_medians(df, {"x": "p", "y": "q"}, ["g"]).collect()}
+    assert med == {(r.g, r.p, r.q) for r in df.groupBy("g").agg(F.percentile("x", 0.5).alias("p"), F.percentile("y", 0.5).alias("q")).collect()}
