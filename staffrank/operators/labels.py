@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staffrank.operators.select import flag_smallest, smallest_k
+from staffrank.session import ensure_checkpoint_dir
 
 
 def cancelled_shifts(events: DataFrame) -> DataFrame:
@@ -14,15 +15,31 @@ def cancelled_shifts(events: DataFrame) -> DataFrame:
             .select("shift_id").distinct())
 
 
+def pair_table(events: DataFrame, shifts: DataFrame) -> DataFrame:
+    """What the labels need of every (user, shift) pair, from one scan of the events.
+
+    APPLY, VIEW and cancel rows feed one GROUPING SETS aggregate over (user, shift) and (shift);
+    cancelled shifts leave by a join of its two small results.  ``positive`` (F2): an APPLY at or
+    before the start (kept when either time is null) of a shift without SYSTEM_CANCEL.  ``seen``: a
+    VIEW or USER_CANCEL."""
+    st = shifts.select(F.col("id").alias("shift_id"), "start_at")
+    it = F.col("interaction")
+    e = events.where(it.isin("APPLY", "VIEW", "USER_CANCEL", "SYSTEM_CANCEL")).join(st, "shift_id", "left")
+    in_time = F.col("start_at").isNull() | F.col("ts").isNull() | (F.col("ts") <= F.col("start_at"))
+    g = e.groupingSets([["user_id", "shift_id"], ["shift_id"]], "user_id", "shift_id").agg(
+        F.grouping_id().alias("_gid"), F.count_if((it == "APPLY") & in_time).alias("_applied"),
+        F.count_if(it.isin("VIEW", "USER_CANCEL")).alias("_seen"),
+        F.count_if(it == "SYSTEM_CANCEL").alias("_cancelled"))
+    cancelled = g.where((F.col("_gid") != 0) & (F.col("_cancelled") > 0)).select("shift_id", F.lit(True).alias("_off"))
+    return g.where(F.col("_gid") == 0).join(cancelled, "shift_id", "left").select(
+        "user_id", "shift_id", ((F.col("_applied") > 0) & F.col("_off").isNull()).alias("positive"),
+        (F.col("_seen") > 0).alias("seen"))
+
+
 def positives(events: DataFrame, shifts: DataFrame) -> DataFrame:
     """distinct (user, shift) with APPLY at or before start (kept when either time is null),
     shift not cancelled."""
-    st = shifts.select(F.col("id").alias("shift_id"), "start_at")
-    a = (events.where(F.col("interaction") == "APPLY")
-         .join(cancelled_shifts(events), "shift_id", "left_anti")
-         .join(st, "shift_id", "left")
-         .where(F.col("start_at").isNull() | F.col("ts").isNull() | (F.col("ts") <= F.col("start_at"))))
-    return a.select("user_id", "shift_id").distinct()
+    return pair_table(events, shifts).where("positive").select("user_id", "shift_id")
 
 
 def negatives(events: DataFrame, pos: DataFrame) -> DataFrame:
@@ -58,11 +75,17 @@ def stratified_split(frame: DataFrame, test_ratio: float = 0.15, seed: int = 42)
 
 
 def labelled_pairs(events: DataFrame, shifts: DataFrame, ratio: int = 5, seed: int = 42) -> DataFrame:
-    """F2 + F4: (user_id, shift_id, label)."""
-    pos = positives(events, shifts)
-    neg = cap_negatives(negatives(events, pos), pos, ratio, seed)
+    """F2 + F4: (user_id, shift_id, label).
+
+    The pair table is written once to the shared checkpoint folder; counting the positives, choosing
+    the negatives and whatever the caller does with the result read it there and not the events."""
+    ensure_checkpoint_dir(events.sparkSession)
+    table = pair_table(events, shifts).where("positive OR seen").checkpoint()
+    pos = table.where("positive").select("user_id", "shift_id")
+    # a pair with a null key equals no other pair, so a positive does not take it out of the negatives
+    neg = table.where("seen AND (NOT positive OR user_id IS NULL OR shift_id IS NULL)").select("user_id", "shift_id")
     return (pos.withColumn("label", F.lit(1))
-            .unionByName(neg.withColumn("label", F.lit(0))))
+            .unionByName(cap_negatives(neg, pos, ratio, seed).withColumn("label", F.lit(0))))
 
 
 def class_weight(frame: DataFrame) -> DataFrame:
@@ -72,14 +95,6 @@ def class_weight(frame: DataFrame) -> DataFrame:
         .alias("pos_weight"))
 
 
-def with_weights(frame: DataFrame) -> DataFrame:
-    """Attach the F6 weight as ``weight`` (label 1 rows carry it, label 0 rows weigh 1)."""
-    cw = frame.agg(F.count_if(F.col("label") == 0).alias("n0"),
-                   F.count_if(F.col("label") == 1).alias("n1")).first()
-    pw = float(cw["n0"]) / max(1, int(cw["n1"]))
-    return frame.withColumn("weight", F.when(F.col("label") == 1, F.lit(pw)).otherwise(F.lit(1.0)))
-
-
 def pair_counts(events: DataFrame, shifts: DataFrame, include_attrs: bool = False) -> DataFrame:
     """F8 + F9: inner join events-shifts, keep ts <= start_at; per (user, shift) the first ts,
     the five interaction counts and ``target`` = (apply + finished) > 0."""
