@@ -174,6 +174,30 @@ def history_facts(events: DataFrame, shifts: DataFrame) -> DataFrame:
     return g.withColumn("fact", label).drop("_gid")
 
 
+_FACT_COUNTS = ["n_apply", "n_view", "n_finish", "n_cancel", "n_total", "reward_sum", "reward_n"]
+# The grouping sets whose keys come from the event's shift.
+_SHIFT_FACTS = ["user_location", "user_task", "user_employer", "user_workplace", "employer"]
+
+
+def merge_facts(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Facts of two disjoint sets of events together: counts and sums add up, the last apply is the later one."""
+    return (a.unionByName(b).groupBy("fact", *_FACT_KEYS)
+            .agg(*[F.sum(c).alias(c) for c in _FACT_COUNTS], F.max("last_apply_ts").alias("last_apply_ts")))
+
+
+def late_facts(events: DataFrame, shifts: DataFrame) -> DataFrame:
+    """What events that were counted before their shift was known add when ``shifts`` come: the facts by
+    the shift's attributes, and the rewards of their users.  Merged with the older facts this gives the
+    facts of all events with all shifts."""
+    known = events.join(shifts.select(F.col("id").alias("shift_id")), "shift_id", "left_semi")
+    f = history_facts(known, shifts)
+    mine = f.where(F.col("fact").isin(_SHIFT_FACTS))
+    rewards = f.where(F.col("fact") == "user").select(
+        *[F.lit(0).cast("long").alias(c) if c.startswith("n_") else
+          F.lit(None).cast("timestamp_ntz").alias(c) if c == "last_apply_ts" else c for c in f.columns])
+    return mine.unionByName(rewards)
+
+
 def _facts(facts: DataFrame, name: str) -> DataFrame:
     f = facts.where(F.col("fact") == name)
     for c in _FACT_SETS[name]:
