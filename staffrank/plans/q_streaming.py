@@ -1,10 +1,8 @@
 """Registered queries: Structured Streaming replays of the event table (K1-K6).
 
-Each query stages the mapped events as a file stream source (one folder per event date),
-runs the streaming job to completion with ``Trigger.AvailableNow`` and returns what the sink
-holds. K1, K2, K5 and K6 must equal their batch twins, so they carry SQL oracles; K3 and K4
-depend on watermark progress and get the rows-only check (their tests compare them with the
-batch queries on the rows the watermark keeps).
+Each query stages the mapped events as a file stream source, runs the streaming job to completion
+with ``Trigger.AvailableNow`` and returns what the sink holds; the oracles are the batch twins. K3 and
+K4 replay the events in time order, with derived replays and late rows beside the real ones.
 """
 
 from __future__ import annotations
@@ -64,19 +62,23 @@ def k2(d):
     return snap.select("id", "shift_id", "user_id", "interaction", "ts")
 
 
-@register("k3_dedup_stream", with_(ADAPTER) + """,
-rep AS (SELECT CAST(CAST(id AS BIGINT) % 7000 AS VARCHAR) AS id, CAST(id AS BIGINT) AS seq, shift_id,
-               user_id, interaction, ts FROM ev)
-SELECT id, seq, shift_id, user_id, interaction, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts, seq) AS rn FROM rep) q WHERE rn = 1""")
+@register("k3_dedup_stream", with_(ADAPTER) + """
+SELECT id, CAST(id AS BIGINT) AS seq, shift_id, user_id, interaction, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
+FROM ev WHERE ts IS NOT NULL
+UNION ALL
+SELECT id, -CAST(id AS BIGINT) - 1, shift_id, user_id, interaction, strftime(ts + INTERVAL 10 DAY, '%Y-%m-%d %H:%M:%S.%f')
+FROM ev WHERE ts IS NOT NULL AND CAST(id AS BIGINT) % 5 = 0""")
 def k3(d):
-    """Replayed ids (event_id % 7000) de-duplicated, first event time wins."""
+    """Every event, a replay of each third one six hours later and a new event with the id of each fifth
+    one ten days later: within the bound of two days a replay is dropped, beyond it an id is new."""
     spark = d.users.sparkSession
     ws = K.workspace(spark, "dedup")
-    e = (d.events.withColumn("seq", F.col("id").cast("bigint"))
-         .withColumn("id", (F.col("seq") % 7000).cast("string")))
-    src = K.stage_events(e, f"{ws}/source")
-    out = K.dedup_stream(K.read_stream(spark, src), f"{ws}/store", f"{ws}/checkpoint")
+    e = d.events.withColumn("seq", F.col("id").cast("bigint")).withColumn("came", F.col("ts"))
+    again = e.where(F.col("seq") % 3 == 0).withColumn("came", F.col("ts") + F.expr("INTERVAL 6 HOURS"))
+    new = e.where(F.col("seq") % 5 == 0).withColumns({
+        c: F.col("ts") + F.expr("INTERVAL 10 DAYS") for c in ("ts", "came")}).withColumn("seq", -F.col("seq") - 1)
+    src = K.stage_in_time_order(e.unionByName(again).unionByName(new), f"{ws}/source", by="came")
+    out, _ = K.dedup_stream(K.read_stream(spark, src, 3), "2 days", f"{ws}/out", f"{ws}/checkpoint")
     return out.select("id", "seq", "shift_id", "user_id", "interaction", "ts")
 
 
@@ -86,11 +88,16 @@ SELECT strftime(a, '%Y-%m-%d %H:%M:%S.%f') AS window_start,
        strftime(a + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S.%f') AS window_end, interaction, CAST(n AS BIGINT) AS rows
 FROM w WHERE a + INTERVAL 1 DAY <= (SELECT max(ts) FROM ev) - INTERVAL 1 HOUR""")
 def k4(d):
-    """Daily interaction funnel with a 1-hour late-data bound (closed windows only)."""
+    """Daily interaction funnel with a 1-hour late-data bound (closed windows only).  A copy of each fourth
+    event comes five days late, when its window is closed, and must not count."""
     spark = d.users.sparkSession
     ws = K.workspace(spark, "funnel")
-    src = K.stage_events(d.events, f"{ws}/source")
-    return K.daily_funnel(K.read_stream(spark, src), "1 hour", f"{ws}/store", f"{ws}/checkpoint")
+    e = d.events.withColumn("seq", F.col("id").cast("bigint")).withColumn("came", F.col("ts"))
+    newest = e.agg(F.max("ts")).first()[0]
+    late = e.where((F.col("seq") % 4 == 0) & (F.col("ts") < F.lit(newest) - F.expr("INTERVAL 6 DAYS")))
+    late = late.withColumn("came", F.col("ts") + F.expr("INTERVAL 5 DAYS"))
+    src = K.stage_in_time_order(e.unionByName(late), f"{ws}/source", by="came")
+    return K.daily_funnel(K.read_stream(spark, src, 3), "1 hour", f"{ws}/out", f"{ws}/checkpoint")[0]
 
 
 @register("k5_running_pair_counts", with_(ADAPTER, _PAIR_SQL.format(src="ev")) + """

@@ -1,24 +1,21 @@
 """Structured Streaming jobs (K1-K6).
 
 The reference loads events in batches and re-prepares daily; here the same work runs as
-streaming queries over a file source:
-
-* K1 ``ingest_events``: contract validation per micro-batch, accepted rows and a dead-letter
-  sink written by ``foreachBatch`` (one folder per batch id, overwrite: a replayed batch
-  rewrites the same folder, so the sinks are idempotent).
-* K2 ``stream_upsert``: last-write-wins store. Each batch appends its newest row per key to a
-  delta log (one folder per batch id); reads and periodic compactions keep the newest ``seq``
-  (load sequence) per key, so the result does not depend on how files were cut into batches and
-  a batch costs its own size, not the size of the state.
-* K3 ``dedup_stream``: ``withWatermark`` + ``dropDuplicatesWithinWatermark`` (first wins inside
-  the bound, state evicted behind the watermark).
-* K4 ``daily_funnel``: tumbling 1-day windows per interaction with a late-data bound, append mode.
-* K5 ``running_pair_counts``: per (user, shift) counts and last apply, update mode; each batch's
-  updated totals are appended to the delta log, the newest version per pair wins.
-* K6 ``refresh_histories``: per-user history partials (counts, reward sum / count, distinct active
-  dates as rows) added to the stored state with ``Trigger.AvailableNow``.
-
-Checkpoints and sink folders live under the shared checkpoint folder of the session.
+streaming queries over a file source. All keyed state is Spark's own state store:
+
+* K1 ``ingest_events``: contract validation per micro-batch, accepted rows and a dead-letter sink.
+* K2 ``stream_upsert``: last write wins per key: a running ``max`` of (load sequence, row).
+* K3 ``dedup_stream``: ``withWatermark`` + ``dropDuplicatesWithinWatermark``: the first of the rows
+  with an id passes, the id is forgotten when the watermark has left it behind by the bound.
+* K4 ``daily_funnel``: tumbling 1-day windows per interaction behind a watermark, append mode: a
+  window is written once, when it is closed; rows that come later are dropped and counted.
+* K5 ``running_pair_counts``: per (user, shift) counts and last apply.
+* K6 ``refresh_histories``: per (user, date) partial counts and reward sums, added up to D1.
+
+K2, K5 and K6 run in update mode: a micro-batch writes the rows that it changed to a folder of its
+own, which a repeated micro-batch overwrites; :func:`latest` reads the newest row of each key.  A
+stream that is started again goes on from its checkpoint.  Checkpoints and sinks live under the
+shared checkpoint folder of the session.
 """
 
 from __future__ import annotations
@@ -61,11 +58,50 @@ def read_stream(spark: SparkSession, path: str, files_per_batch: int = 20) -> Da
             .parquet(path))
 
 
-def _run(writer, checkpoint: str) -> None:
+def stage_in_time_order(events: DataFrame, path: str, by: str = "ts", files_per_day: int = 1) -> str:
+    """Lay out events as a feed in time order: the files of a date are written after those of the dates
+    before it, so the source, which takes older files first, reads date after date."""
+    days = events.select(F.to_date(by).alias("d")).where("d IS NOT NULL").distinct().orderBy("d").collect()  # one row a date
+    cols = ["id", "seq", "shift_id", "user_id", "interaction", "ts"]
+    held = events.withColumn("day", F.to_date(by)).persist()
+    for (day,) in days:
+        held.where(F.col("day") == F.lit(day)).select(*cols).repartition(files_per_day).write.mode("append").parquet(path)
+    held.unpersist()
+    return path
+
+
+def _run(writer, checkpoint: str) -> list[dict]:
+    """Runs a stream over what its source holds; the progress of its micro-batches."""
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return q.recentProgress
+
+
+def state_rows(progress: list[dict]) -> int:
+    """Rows in the state after the last micro-batch."""
+    return sum(s["numRowsTotal"] for s in progress[-1]["stateOperators"]) if progress else 0
+
+
+def dropped_rows(progress: list[dict]) -> int:
+    """Rows that came after the watermark; in windows, rows of the partial counts."""
+    return sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"])
+
+
+def _changes(stream: DataFrame, sink: str, checkpoint: str) -> list[dict]:
+    """Runs an update-mode aggregate; each micro-batch's changed rows are one folder of ``sink``."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    return _run(stream.writeStream.outputMode("update").foreachBatch(write), checkpoint)
+
+
+def latest(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
+    """The newest row of each key among the changes in ``sink``."""
+    rows = spark.read.parquet(sink)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
 
 
 # ------------------------------------------------------------------------------------- K1
@@ -89,138 +125,50 @@ def ingest_events(stream: DataFrame, sink: str, checkpoint: str) -> tuple[str, s
 
 # ------------------------------------------------------------------------------------- K2
 
-def merge_snapshot(state: DataFrame | None, batch: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Last write wins per key by ``order`` over the union of state and batch (partial-aggregated
-    ``max``, skew-safe)."""
-    from staffrank.operators.store import pick_per_key
-    allr = batch if state is None else state.unionByName(batch)
-    return pick_per_key(allr, keys, [order], newest=True).select(*allr.columns)
-
-
-class DeltaStore:
-    """Keyed state kept as a compacted base plus append-only per-batch deltas.
-
-    ``commit`` writes only the batch's delta (folder ``delta/batch=<id>``, overwritten when a
-    batch is replayed). Every ``compact_every`` batches the base and the deltas since it are
-    folded into a new base version (``base/v=<id>``); a replayed batch already folded into the
-    base is ignored, so even additive folds stay exactly-once. ``current`` folds the newest base
-    with the later deltas. The store re-reads its folders on start, so a restarted stream
-    continues from what is on storage. A micro-batch costs its own size, not the size of the
-    state; ``fold`` is the merge rule (newest row per key, or sums of partials).
-    """
-
-    def __init__(self, spark: SparkSession, root: str, fold, compact_every: int = 8):
-        self.spark, self.root, self.fold, self.every = spark, root.rstrip("/"), fold, compact_every
-        bases = self._ids("base", "v=")
-        self.base_version: int | None = max(bases) if bases else None
-        floor = -1 if self.base_version is None else self.base_version
-        self.deltas: list[int] = sorted(b for b in self._ids("delta", "batch=") if b > floor)
-
-    def _ids(self, sub: str, prefix: str) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        out = []
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(prefix):]))
-        return out
-
-    def _read(self, path: str) -> DataFrame:
-        return self.spark.read.parquet(path)
-
-    def current(self) -> DataFrame | None:
-        parts = []
-        if self.base_version is not None:
-            parts.append(self._read(f"{self.root}/base/v={self.base_version}"))
-        parts += [self._read(f"{self.root}/delta/batch={b}") for b in self.deltas]
-        if not parts:
-            return None
-        allr = parts[0]
-        for p in parts[1:]:
-            allr = allr.unionByName(p)
-        return self.fold(allr)
-
-    def commit(self, delta: DataFrame, batch_id: int) -> None:
-        if self.base_version is not None and batch_id <= self.base_version:
-            return  # replay of a batch already folded into the base
-        delta.write.mode("overwrite").parquet(f"{self.root}/delta/batch={batch_id}")
-        if batch_id not in self.deltas:
-            self.deltas.append(batch_id)
-        if len(self.deltas) >= self.every:
-            self.current().write.mode("overwrite").parquet(f"{self.root}/base/v={batch_id}")
-            self.base_version, self.deltas = batch_id, []
-
-
-def stream_upsert(stream: DataFrame, root: str, checkpoint: str, keys: list[str],
-                  order: str = "seq") -> DataFrame:
-    """K2: streaming last-write-wins store; returns the final snapshot. Each batch appends its
-    newest row per key; reads and compactions keep the newest row per key over base + deltas."""
-    store = DeltaStore(stream.sparkSession, root, lambda df: merge_snapshot(None, df, keys, order))
+def stream_upsert(stream: DataFrame, sink: str, checkpoint: str, keys: list[str], order: str = "seq") -> DataFrame:
+    """K2: last write wins per key by ``order``; returns the snapshot after the last micro-batch.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        store.commit(merge_snapshot(None, batch.drop("day"), keys, order), batch_id)
-
-    _run(stream.writeStream.foreachBatch(write), checkpoint)
-    return store.current()
+    The result does not depend on how files are cut into micro-batches."""
+    rest = [c for c in stream.columns if c not in (*keys, "day")]
+    newest = stream.groupBy(*keys).agg(F.max(F.struct(order, *[c for c in rest if c != order])).alias("r"))
+    _changes(newest.select(*keys, "r.*"), sink, checkpoint)
+    return latest(stream.sparkSession, sink, keys)
 
 
 # ------------------------------------------------------------------------------------- K3
 
-def dedup_stream(stream: DataFrame, root: str, checkpoint: str, order: tuple[str, ...] = ("ts", "seq")) -> DataFrame:
-    """K3: first-wins de-dup of replayed event ids; returns one row per id, the smallest by ``order``.
-
-    The store keeps the first row per id over base and deltas, so the result does not depend on the
-    order in which files or batches arrive. Rows without an id cannot repeat and are dropped."""
-    def first(df: DataFrame) -> DataFrame:
-        rest = [c for c in df.columns if c not in (*order, "id")]
-        return (df.groupBy("id").agg(F.min(F.struct(*order, *rest)).alias("r"))
-                .select("id", "r.*").select(*df.columns))
+def dedup_stream(stream: DataFrame, bound: str, sink: str, checkpoint: str) -> tuple[DataFrame, list[dict]]:
+    """K3: first-wins de-dup of replayed event ids within ``bound`` of event time; (rows, progress).
 
-    store = DeltaStore(stream.sparkSession, root, first)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        store.commit(first(batch.drop("day").where(F.col("id").isNotNull())), batch_id)
-
-    _run(stream.writeStream.foreachBatch(write), checkpoint)
-    return store.current()
+    The source must be in time order up to ``bound``.  An id is held until the watermark (newest event
+    time less ``bound``) is past its own event time by ``bound``; one that comes back later is a new
+    event.  Rows without an id or a time cannot be compared and are dropped."""
+    known = stream.where("id IS NOT NULL AND ts IS NOT NULL").withColumn("at", F.col("ts").cast("timestamp"))
+    first = known.withWatermark("at", bound).dropDuplicatesWithinWatermark(["id"]).drop("at", "day")
+    progress = _run(first.writeStream.outputMode("append").format("parquet").option("path", sink), checkpoint)
+    return stream.sparkSession.read.schema(first.schema).parquet(sink), progress
 
 
 # ------------------------------------------------------------------------------------- K4
 
-def daily_funnel(stream: DataFrame, bound: str, root: str, checkpoint: str) -> DataFrame:
-    """K4: daily tumbling window counts per interaction; returns the windows that are closed: their
-    end lies ``bound`` or more before the newest event time.
+def daily_funnel(stream: DataFrame, bound: str, sink: str, checkpoint: str) -> tuple[DataFrame, list[dict]]:
+    """K4: daily tumbling window counts per interaction; (closed windows, progress).
 
-    Each micro-batch adds its own partial counts (additive, exactly once by batch id), so no row is
-    late: files may arrive in any order, as in a replay that many tasks have written."""
-    spark = stream.sparkSession
-    counts = DeltaStore(spark, f"{root}/counts", lambda df: df.groupBy("window_start", "window_end", "interaction")
-                        .agg(F.sum("rows").alias("rows"), F.max("newest").alias("newest")))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.where(F.col("ts").isNotNull()).withColumn("w", F.window(F.col("ts").cast("timestamp"), "1 day"))
-        counts.commit(b.groupBy(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                                F.col("w.end").cast("timestamp_ntz").alias("window_end"), "interaction")
-                      .agg(F.count(F.lit(1)).alias("rows"), F.max("ts").alias("newest")), batch_id)
-
-    _run(stream.writeStream.foreachBatch(write), checkpoint)
-    state = counts.current()
-    newest = state.agg(F.max("newest")).first()[0]
-    closed = F.col("window_end") <= F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {bound}")
-    return state.where(closed).select("window_start", "window_end", "interaction", "rows")
+    A window is closed when its end lies ``bound`` or more before the newest event time; its state is
+    then dropped.  Rows that come for a closed window are late: see :func:`dropped_rows`."""
+    timed = stream.where("ts IS NOT NULL").withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", bound)
+    counts = timed.groupBy(F.window("at", "1 day"), "interaction").agg(F.count("*").alias("rows")).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "interaction", "rows")
+    progress = _run(counts.writeStream.outputMode("append").format("parquet").option("path", sink), checkpoint)
+    closed = stream.sparkSession.read.schema(counts.schema).parquet(sink)
+    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}), progress
 
 
 # ------------------------------------------------------------------------------------- K5
 
-def running_pair_counts(stream: DataFrame, root: str, checkpoint: str) -> DataFrame:
-    """K5: running (user, shift) APPLY / FINISHED / USER_CANCEL counts and last APPLY time.
-
-    The stateful aggregation runs in update mode; each batch's updated rows replace the stored
-    ones (the streaming state already holds the running totals)."""
+def running_pair_counts(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
+    """K5: running (user, shift) APPLY / FINISHED / USER_CANCEL counts and last APPLY time, in update
+    mode; returns the totals after the last micro-batch."""
     it = F.col("interaction")
     e = stream.where(it.isin("APPLY", "FINISHED", "USER_CANCEL") & F.col("user_id").isNotNull()
                      & F.col("shift_id").isNotNull())
@@ -229,67 +177,43 @@ def running_pair_counts(stream: DataFrame, root: str, checkpoint: str) -> DataFr
         F.count_if(it == "FINISHED").alias("finish_count"),
         F.count_if(it == "USER_CANCEL").alias("cancel_count"),
         F.max(F.when(it == "APPLY", F.col("ts"))).alias("last_apply_ts"))
-    store = DeltaStore(stream.sparkSession, root,
-                       lambda df: merge_snapshot(None, df, ["user_id", "shift_id"], "_v"))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        store.commit(batch.withColumn("_v", F.lit(batch_id).cast("long")), batch_id)
-
-    _run(agg.writeStream.outputMode("update").foreachBatch(write), checkpoint)
-    cur = store.current()
-    return cur.drop("_v") if cur is not None else None
+    _changes(agg, sink, checkpoint)
+    return latest(stream.sparkSession, sink, ["user_id", "shift_id"])
 
 
 # ------------------------------------------------------------------------------------- K6
 
-def history_partials(events: DataFrame, shifts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Mergeable per-user partials of a slice of events: counts and reward sums; active dates as
-    (user_id, day) rows."""
+def history_partials(events: DataFrame, shifts: DataFrame) -> DataFrame:
+    """Mergeable partials per (user, date): counts and reward sums; works on a batch and on a stream.
+
+    A date's rows stay as they are once its events are in, so a micro-batch changes few rows."""
     s = shifts.select(F.col("id").alias("shift_id"), "reward")
-    e = events.where(F.col("user_id").isNotNull()).join(s, "shift_id", "left")
+    e = events.where(F.col("user_id").isNotNull()).withColumn("day", F.to_date("ts")).join(s, "shift_id", "left")
     it = F.col("interaction")
-    counts = e.groupBy("user_id").agg(
+    return e.groupBy("user_id", "day").agg(
         F.count_if(it == "APPLY").alias("total_applies"), F.count_if(it == "VIEW").alias("total_views"),
         F.count_if(it == "FINISHED").alias("total_finishes"),
         F.count_if(it == "USER_CANCEL").alias("total_cancels"), F.count(F.lit(1)).alias("total_events"),
         F.sum(F.when(it == "APPLY", F.col("reward"))).alias("reward_sum"),
         F.count(F.when(it == "APPLY", F.col("reward"))).alias("reward_n"))
-    days = e.where(F.col("ts").isNotNull()).select("user_id", F.to_date("ts").alias("day")).distinct()
-    return counts, days
 
 
-def history_from_partials(counts: DataFrame, days: DataFrame) -> DataFrame:
-    """D1 from merged partials."""
-    nd = days.groupBy("user_id").agg(F.count(F.lit(1)).alias("_days"))
+def history_from_partials(partials: DataFrame) -> DataFrame:
+    """D1 from the partials."""
+    sums = [c for c in partials.columns if c not in ("user_id", "day")]
+    h = partials.groupBy("user_id").agg(*[F.sum(c).alias(c) for c in sums], F.count("day").alias("_days"))
     one = F.greatest(F.lit(1), F.col("total_applies"))
-    h = counts.join(nd, "user_id", "left")
     return h.select(
         "user_id", "total_applies", "total_views", "total_finishes", "total_cancels", "total_events",
         (F.col("total_applies") / F.greatest(F.lit(1), F.col("total_events"))).alias("apply_rate"),
         (F.col("total_finishes") / one).alias("finish_rate"),
         (F.col("total_cancels") / one).alias("cancel_rate"),
-        F.coalesce(F.col("_days"), F.lit(1)).cast("bigint").alias("active_days"),
+        F.greatest(F.lit(1), F.col("_days")).cast("bigint").alias("active_days"),
         F.when(F.col("total_applies") == 0, F.lit(0.0))
         .otherwise(F.col("reward_sum") / F.nullif(F.col("reward_n"), F.lit(0))).alias("avg_reward"))
 
 
-def _sum_partials(df: DataFrame) -> DataFrame:
-    return df.groupBy("user_id").agg(*[F.sum(c).alias(c) for c in df.columns if c != "user_id"])
-
-
-def refresh_histories(stream: DataFrame, shifts: DataFrame, root: str, checkpoint: str) -> DataFrame:
-    """K6: each micro-batch appends its partials (per-user counts and reward sums; distinct
-    active dates as rows); reads and compactions add them up; returns D1 of the state."""
-    spark = stream.sparkSession
-    counts_store = DeltaStore(spark, f"{root}/counts", _sum_partials)
-    days_store = DeltaStore(spark, f"{root}/days", lambda df: df.distinct())
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        counts, days = history_partials(batch.drop("day"), shifts)
-        counts_store.commit(counts, batch_id)
-        days_store.commit(days, batch_id)
-
-    _run(stream.writeStream.foreachBatch(write), checkpoint)
-    if counts_store.current() is None:
-        return None
-    return history_from_partials(counts_store.current(), days_store.current())
+def refresh_histories(stream: DataFrame, shifts: DataFrame, sink: str, checkpoint: str) -> DataFrame:
+    """K6: the partials of each micro-batch are added to the stored ones; returns D1 of the result."""
+    _changes(history_partials(stream.drop("day"), shifts), sink, checkpoint)
+    return history_from_partials(latest(stream.sparkSession, sink, ["user_id", "day"]))

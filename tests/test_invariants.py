@@ -14,7 +14,6 @@ from staffrank.sources.tables import testdata_domain as load_domain
 
 Q = E.queries()
 SF = "/root/testdata/sf0.01"
-SF_STREAM = SF
 
 
 def test_candidate_invariants(spark):
@@ -81,61 +80,6 @@ def test_models_rank_better_than_chance(spark, name):
     assert G.auc(scored) > 0.5
 
 
-def _shuffled_source(spark, name: str, replay: int | None = None) -> str:
-    """The events of sf0.01 staged by 16 tasks in random order, so that files are not in time order."""
-    from staffrank.streaming import jobs as K
-    e = load_domain(spark, SF_STREAM).events.withColumn("seq", F.col("id").cast("bigint"))
-    if replay:
-        e = e.withColumn("id", (F.col("seq") % replay).cast("string"))
-    return K.stage_events(e.repartition(16, F.rand(3)), f"{K.workspace(spark, name)}/source")
-
-
-def test_streaming_funnel_of_a_shuffled_source_equals_batch(spark):
-    from staffrank.streaming import jobs as K
-    src = _shuffled_source(spark, "funnel-test")
-    got = K.daily_funnel(K.read_stream(spark, src, 200), "1 hour", f"{src}-store", f"{src}-checkpoint")
-    d = load_domain(spark, SF_STREAM)
-    newest = d.events.agg(F.max("ts")).first()[0]
-    import datetime as dt
-    batch = (d.events.groupBy(F.to_date("ts").alias("day"), "interaction").agg(F.count(F.lit(1)).alias("rows"))
-             .where(F.date_add("day", 1).cast("timestamp_ntz") <= F.lit(newest - dt.timedelta(hours=1))))
-    g = got.select(F.to_date("window_start").alias("day"), "interaction", "rows")
-    assert g.exceptAll(batch).count() == 0 and batch.exceptAll(g).count() == 0
-
-
-def test_streaming_dedup_of_a_shuffled_source_keeps_the_first(spark):
-    from staffrank.streaming import jobs as K
-    src = _shuffled_source(spark, "dedup-test", replay=700)
-    got = K.dedup_stream(K.read_stream(spark, src, 200), f"{src}-store", f"{src}-checkpoint")
-    first = (load_domain(spark, SF_STREAM).events.withColumn("seq", F.col("id").cast("bigint"))
-             .groupBy((F.col("seq") % 700).cast("string").alias("id")).agg(F.min(F.struct("ts", "seq")).alias("f"))
-             .select("id", "f.seq"))
-    assert got.count() == 700 and got.select("id", "seq").exceptAll(first).count() == 0
-
-
-def test_delta_store_compaction_replay_and_restart(spark):
-    import uuid
-    from staffrank.session import shared_dir
-    from staffrank.streaming.jobs import DeltaStore, merge_snapshot
-    root = shared_dir(spark, f"test-delta-{uuid.uuid4().hex[:8]}")
-    fold = lambda df: merge_snapshot(None, df, ["k"], "v")
-
-    def batch(b):
-        return spark.range(0, 50).select((F.col("id") % (5 + b)).alias("k"),
-                                         F.lit(b).cast("long").alias("v")).distinct()
-
-    st = DeltaStore(spark, root, fold, compact_every=3)
-    for b in range(10):
-        st.commit(batch(b), b)
-    st.commit(batch(9), 9)   # replay of the open batch
-    st.commit(batch(4), 4)   # replay of a batch already folded into the base: ignored
-    want = {k: max(b for b in range(10) if k < 5 + b) for k in range(14)}
-    assert {r.k: r.v for r in st.current().collect()} == want and st.base_version == 8
-    again = DeltaStore(spark, root, fold, compact_every=3)  # restart: state read from storage
-    assert (again.base_version, again.deltas) == (8, [9])
-    assert {r.k: r.v for r in again.current().collect()} == want
-
-
 def test_exact_percentiles_equal_builtin(spark):
     from staffrank.operators.quantiles import exact_percentiles
     df = spark.range(0, 5000).select((F.col("id") % 3).alias("g"), (F.rand(7) * 100).alias("x"))
