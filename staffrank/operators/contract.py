@@ -114,10 +114,36 @@ def validate(df: DataFrame, table: str, mode: str = "row") -> tuple[DataFrame, D
         return v.where(~bad).drop("violations"), v.where(bad)
     if mode != "batch":
         raise ValueError("mode must be 'row' or 'batch'")
-    n_bad = v.where(bad).limit(1).count()
-    if n_bad:
-        return v.limit(0).drop("violations"), v
-    return v.drop("violations"), v.limit(0)
+    if v.where(bad).isEmpty():
+        return v.drop("violations"), v.limit(0)
+    return v.limit(0).drop("violations"), v
+
+
+def commit_batch(df: DataFrame, table: str, target: str, batch: str) -> dict:
+    """B8 in batch mode: the rows of a batch are stored all together or not at all.
+
+    The batch is evaluated once, into a staged folder that no reader of ``target`` sees; then the folder
+    is renamed, which is one step on a shared file system: to ``target/batch=<batch>`` if no row breaks
+    a rule, else to ``target-rejected/batch=<batch>``, where the rows keep the names of the broken rules.
+    A repeated batch replaces itself.  Returns the number of rows, of bad rows and whether it was stored."""
+    spark = df.sparkSession
+    path, fs = _file_system(spark, target)
+    staged = f"{target}/_staged-{batch}"
+    with_violations(df, table).write.mode("overwrite").parquet(staged)
+    n, bad = spark.read.parquet(staged).agg(F.count("*"), F.count_if(F.size("violations") > 0)).first()
+    end = f"{target}/batch={batch}" if not bad else f"{target}-rejected/batch={batch}"
+    for old in (f"{target}/batch={batch}", f"{target}-rejected/batch={batch}"):
+        fs.delete(path(old), True)
+    fs.mkdirs(path(end).getParent())
+    if not fs.rename(path(staged), path(end)):
+        raise OSError(f"could not rename {staged} to {end}")
+    return {"batch": batch, "rows": n, "bad_rows": bad, "stored": not bad}
+
+
+def _file_system(spark, where: str):
+    """Hadoop's path class and the file system of a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path, path(where).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def violation_summary(df: DataFrame, table: str) -> DataFrame:
@@ -128,8 +154,3 @@ def violation_summary(df: DataFrame, table: str) -> DataFrame:
             F.count_if(F.size("violations") > 0).alias("rejected")]
     aggs += [F.count_if(~ok).alias(name) for name, ok in rs.items()]
     return v.agg(*aggs)
-
-
-def normalise_event_ids(events: DataFrame) -> DataFrame:
-    """Event ids to canonical UUID text (v5 in the DNS namespace for non-UUID text)."""
-    return events.withColumn("id", to_uuid("id"))

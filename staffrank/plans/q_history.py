@@ -8,9 +8,10 @@ from staffrank.operators import candidates as C
 from staffrank.operators import features as E
 from staffrank.operators import history as D
 from staffrank.operators import splits as S
+from staffrank.plans.derived import with_timeless, with_unpaid, with_unwanted
 from staffrank.plans.flagship import SPLIT_T
 from staffrank.plans.registry import register
-from staffrank.plans.sqlkit import ADAPTER, SPLIT, activity_sql, candidates_sql, with_
+from staffrank.plans.sqlkit import ADAPTER, SPLIT, TIMELESS, UNPAID, UNWANTED, activity_sql, candidates_sql, with_
 
 # Fixed value: the early cut-off at which the test data has sleepers.
 SLEEPER_T = "2024-01-08 00:00:00"
@@ -54,15 +55,11 @@ def d1(d):
     return D.user_history(d.events, d.shifts)
 
 
-@register("d2_active_days", with_(ADAPTER, hist_sql(
-    "(SELECT id, shift_id, user_id, interaction, CASE WHEN CAST(user_id AS BIGINT) % 4 = 0 "
-    "THEN NULL ELSE ts END AS ts FROM ev)")) + """
+@register("d2_active_days", with_(ADAPTER, TIMELESS, hist_sql("ev_t")) + """
 SELECT user_id, active_days FROM hist""")
 def d2(d):
-    """Distinct UTC event dates per user; every fourth user's times are unknown (-> 1)."""
-    e = d.events.withColumn("ts", F.when(F.col("user_id").cast("bigint") % 4 == 0, F.lit(None))
-                            .otherwise(F.col("ts")))
-    return D.user_history(e, d.shifts).select("user_id", "active_days")
+    """Distinct UTC event dates per user; derived users without any time have 1."""
+    return D.user_history(with_timeless(d.events), d.shifts).select("user_id", "active_days")
 
 
 @register("d3_user_employer", with_(ADAPTER) + """
@@ -79,22 +76,12 @@ def d3w(d):
     return D.user_workplace(d.events, d.shifts)
 
 
-@register("d4_avg_reward", with_(ADAPTER, hist_sql(
-    "(SELECT e.* FROM ev e WHERE NOT (e.interaction = 'APPLY' AND e.shift_id IN ("
-    "SELECT id FROM shifts WHERE capacity % 3 = 0)))",
-    "")).replace("LEFT JOIN shifts s ON s.id = e.shift_id",
-                 "LEFT JOIN (SELECT id, employer_id, workplace_id, location_id, task_type, "
-                 "CASE WHEN capacity % 2 = 0 THEN NULL ELSE reward END AS reward FROM shifts) s "
-                 "ON s.id = e.shift_id") + """
+@register("d4_avg_reward", with_(ADAPTER, UNPAID, hist_sql("ev_n").replace("LEFT JOIN shifts s", "LEFT JOIN shifts_n s")) + """
 SELECT user_id, total_applies, round(avg_reward, 6) AS avg_reward FROM hist""")
 def d4(d):
-    """Mean reward over applied shifts; rewards of even-capacity shifts unknown, applies to
-    capacity%3==0 shifts removed: 0.0 without applies, null when all rewards are unknown."""
-    cap3 = d.shifts.where(F.col("capacity") % 3 == 0).select(F.col("id").alias("shift_id"))
-    e = d.events.join(cap3.withColumn("_c3", F.lit(True)), "shift_id", "left").where(
-        ~((F.col("interaction") == "APPLY") & F.col("_c3").isNotNull())).drop("_c3")
-    s = d.shifts.withColumn("reward", F.when(F.col("capacity") % 2 == 0, F.lit(None))
-                            .otherwise(F.col("reward")))
+    """Mean reward over applied shifts; derived users who never applied have 0.0, those of shifts with
+    unknown rewards only have null."""
+    e, s = with_unpaid(d.events, d.shifts)
     return D.user_history(e, s).select("user_id", "total_applies", "avg_reward")
 
 
@@ -116,22 +103,17 @@ def d6(d):
     return D.user_task_cnt(d.events, d.shifts)
 
 
-@register("d7_employer_fill", with_(ADAPTER) + """
+@register("d7_employer_fill", with_(ADAPTER, UNWANTED) + """
 SELECT employer_id, applies, events,
        round(CASE WHEN applies = 0 THEN NULL ELSE applies / greatest(1, events) END, 6) AS fill_rate
 FROM (SELECT s.employer_id,
         CAST(count(*) FILTER (WHERE e.interaction = 'APPLY') AS BIGINT) AS applies,
         CAST(count(*) AS BIGINT) AS events
-      FROM (SELECT * FROM ev WHERE NOT (interaction = 'APPLY' AND shift_id IN (
-              SELECT id FROM shifts WHERE employer_id LIKE 'Brand#1%'))) e
-      JOIN shifts s ON s.id = e.shift_id
+      FROM ev_w e JOIN shifts_w s ON s.id = e.shift_id
       WHERE s.employer_id IS NOT NULL GROUP BY s.employer_id) q""")
 def d7(d):
-    """Employer fill rate; APPLY events of Brand#1x employers removed so the null state shows."""
-    b1 = d.shifts.where(F.col("employer_id").like("Brand#1%")).select(F.col("id").alias("shift_id"))
-    e = d.events.join(b1.withColumn("_b", F.lit(True)), "shift_id", "left").where(
-        ~((F.col("interaction") == "APPLY") & F.col("_b").isNotNull())).drop("_b")
-    return D.employer_fill(e, d.shifts)
+    """Employer fill rate; derived employers, seen but without applies, have null."""
+    return D.employer_fill(*with_unwanted(d.events, d.shifts))
 
 
 _PAIR_SQL = """

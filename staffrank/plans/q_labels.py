@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from staffrank.operators import features as E
 from staffrank.operators import labels as L
 from staffrank.operators import splits as S
+from staffrank.plans.derived import with_orphans
 from staffrank.plans.flagship import SPLIT_T
 from staffrank.plans.q_history import _PAIR_SQL, _PROFILE_SQL, _r, feature_sql, hist_sql
 from staffrank.plans.registry import register
-from staffrank.plans.sqlkit import ADAPTER, SPLIT, with_
+from staffrank.plans.sqlkit import ADAPTER, ORPHANS, SPLIT, with_
 
 # Fixed value: validation window of the rolling cut-off split used on the test data.
 CV_DAYS = 14
@@ -70,15 +71,14 @@ def f5(d):
     return E.pair_features(lab.select("shift_id", "user_id", "label"), d.shifts, state)
 
 
-@register("f5_orphan_pairs", with_(ADAPTER, LABEL_SQL) + """
+@register("f5_orphan_pairs", with_(ADAPTER, ORPHANS, LABEL_SQL.replace("FROM ev ", "FROM ev_o ")) + """
 SELECT CAST(count(*) AS BIGINT) AS orphan_pairs,
        CAST(count(*) FILTER (WHERE label = 1) AS BIGINT) AS orphan_positives
-FROM lab WHERE shift_id NOT IN (SELECT id FROM shifts WHERE CAST(substr(id, 3) AS INTEGER) < 90)""")
+FROM lab WHERE shift_id NOT IN (SELECT id FROM shifts)""")
 def f5o(d):
-    """Count of labelled pairs dropped for an unknown shift (shifts with key >= 90 withheld)."""
-    known = d.shifts.where(F.substring("id", 3, 10).cast("int") < 90)
-    lab = L.labelled_pairs(d.events, d.shifts)
-    orphan = lab.join(known.select(F.col("id").alias("shift_id")), "shift_id", "left_anti")
+    """Count of labelled pairs dropped for an unknown shift: all events and derived ones of such shifts."""
+    lab = L.labelled_pairs(with_orphans(d.events), d.shifts)
+    orphan = lab.join(d.shifts.select(F.col("id").alias("shift_id")), "shift_id", "left_anti")
     return orphan.agg(F.count(F.lit(1)).alias("orphan_pairs"),
                       F.count_if(F.col("label") == 1).alias("orphan_positives"))
 

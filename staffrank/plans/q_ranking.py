@@ -9,6 +9,7 @@ from staffrank.operators import features as E
 from staffrank.operators import history as D
 from staffrank.operators import ranking as H
 from staffrank.operators import splits as S
+from staffrank.plans.derived import with_unscored
 from staffrank.plans.flagship import SPLIT_T
 from staffrank.plans.q_history import feature_blocks
 from staffrank.plans.registry import register
@@ -20,25 +21,24 @@ RERANK_T = "2024-01-08 00:00:00"
 
 def scored_candidates(d, t: str):
     """C4 candidates of the validation shifts at ``t``, the 26 features from the history up to
-    ``t``, the heuristic score; every fifth user is treated as unknown to the scorer."""
+    ``t``, the heuristic score; derived candidates are unknown to the scorer."""
     sp = S.date_split(d.shifts, d.events, t)
     state = E.build_state(d.users, d.shifts, sp.train_events)
     cands = C.candidates(sp.val_shifts, C.user_activity(d.users, sp.train_events))
-    feats = H.heuristic_score(E.pair_features(cands, d.shifts, state))
-    scored = feats.where(F.col("user_id").cast("bigint") % 5 != 0).select(
-        "shift_id", "user_id", "score")
-    return cands, scored, state, sp
+    scored = H.heuristic_score(E.pair_features(cands, d.shifts, state)).select("shift_id", "user_id", "score")
+    return with_unscored(cands), scored, state, sp
 
 
 RANK_SQL = """,
-scored AS (SELECT shift_id, user_id, user_apply_rate + location_match AS score FROM feat
-           WHERE CAST(user_id AS BIGINT) % 5 <> 0),
+scored AS (SELECT shift_id, user_id, user_apply_rate + location_match AS score FROM feat),
+cands_u AS (SELECT shift_id, user_id, cand_rank FROM cands UNION ALL
+            SELECT shift_id, 'u' || user_id, cand_rank + 1000 FROM cands WHERE cand_rank % 5 = 0),
 ranked AS (
   SELECT c.shift_id, c.user_id, c.cand_rank, s.score IS NOT NULL AS known,
          COALESCE(s.score, 0.0) AS score,
          row_number() OVER (PARTITION BY c.shift_id
                             ORDER BY COALESCE(s.score, 0.0) DESC, s.score IS NOT NULL DESC, c.cand_rank) AS rank
-  FROM cands c LEFT JOIN scored s ON s.shift_id = c.shift_id AND s.user_id = c.user_id)"""
+  FROM cands_u c LEFT JOIN scored s ON s.shift_id = c.shift_id AND s.user_id = c.user_id)"""
 
 
 @register("h1_rank_by_score", with_(*feature_blocks()) + RANK_SQL + """

@@ -10,6 +10,7 @@ from staffrank.operators import contract as B
 from staffrank.operators import splits as S
 from staffrank.operators import store as ST
 from staffrank.plans.flagship import SPLIT_T
+from staffrank.plans.q_metric import FLAGSHIP_SQL
 from staffrank.plans.registry import register, register_raw
 from staffrank.plans.sqlkit import ADAPTER, SPLIT, with_
 from staffrank.session import shared_dir
@@ -23,10 +24,21 @@ def _as_text(df: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- A1-A4 readers
 
+def _exported(df: DataFrame, name: str) -> str:
+    """The table as CSV files, as they come from several hands: a part in contract order, a part with the
+    columns in reverse and one more, and copies of some rows as lines with a field too many."""
+    path, text, half = _scratch(df.sparkSession, name), _as_text(df), F.crc32(F.col(df.columns[0])) % 2
+    text.where(half == 0).write.option("header", True).csv(f"{path}/first")
+    text.where(half == 1).select(*reversed(df.columns), F.lit("x").alias("note")).write.option("header", True).csv(f"{path}/second")
+    torn = text.where(F.crc32(F.col(df.columns[0])) % 10 == 0).withColumn(df.columns[1], F.concat(F.col(df.columns[1]), F.lit(",torn")))
+    torn.write.option("header", True).option("quote", "\0").csv(f"{path}/third")
+    return f"{path}/*"
+
+
 @register("a1_read_users", with_(ADAPTER) + " SELECT id, location_id, is_strict_location, has_mk FROM users")
 def a1(d):
-    """Users through the typed reader path (text -> contract types)."""
-    return TB.coerce_users(_as_text(d.users))
+    """Users from CSV files with drifting headers and torn lines."""
+    return TB.read_checked(d.users.sparkSession, _exported(d.users, "users"), "users").rows
 
 
 @register("a2_read_shifts", with_(ADAPTER) + """
@@ -34,20 +46,38 @@ SELECT id, strftime(start_at, '%Y-%m-%d %H:%M:%S.%f') AS start_at, location_id,
        employer_id, workplace_id, need_mk, id_differential, CAST(hours AS BIGINT) AS hours,
        round(reward, 6) AS reward, CAST(capacity AS BIGINT) AS capacity FROM shifts""")
 def a2(d):
-    return TB.coerce_shifts(_as_text(d.shifts))
+    """Shifts from CSV files with drifting headers and torn lines."""
+    return TB.read_checked(d.users.sparkSession, _exported(d.shifts, "shifts"), "shifts").rows
 
 
 @register("a3_read_events", with_(ADAPTER) + """
 SELECT id, shift_id, user_id, interaction, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM ev""")
 def a3(d):
-    return TB.coerce_events(_as_text(d.events))
+    """Events from CSV files with drifting headers and torn lines."""
+    return TB.read_checked(d.users.sparkSession, _exported(d.events, "events"), "events").rows
 
 
 @register("a4_read_apply", with_(ADAPTER, SPLIT) + """
 SELECT user_id, shift_id, CAST(date AS VARCHAR) AS date FROM truth""")
 def a4(d):
+    """Ground truth from CSV files with drifting headers and torn lines."""
     truth = S.ground_truth(d.events, S.date_split(d.shifts, d.events, SPLIT_T).val_shifts)
-    return TB.coerce_apply(_as_text(truth))
+    return TB.read_checked(d.users.sparkSession, _exported(truth, "apply"), "apply").rows
+
+
+@register("a3_read_report", with_(ADAPTER) + """
+SELECT CAST((SELECT count(*) FROM ev) AS BIGINT) AS rows, TRUE AS some_rejected, TRUE AS all_rejected_torn,
+       'moved,note' AS drift""")
+def a3r(d):
+    """What the reader of events reports: rows, rejected lines and headers that drifted."""
+    r = TB.read_checked(d.users.sparkSession, _exported(d.events, "events"), "events")
+    n = r.rows.agg(F.count("*").alias("rows"))
+    torn = F.col("line").contains(",torn")
+    lost = r.rejected.agg((F.count("*") > 0).alias("some_rejected"), (F.count_if(torn) == F.count("*")).alias("all_rejected_torn"))
+    drift = r.drift.select(F.concat_ws(",", F.when(F.col("moved"), "moved"), F.array_join("missing", ","), F.array_join("extra", ",")).alias("d"))
+    drift = drift.select(F.regexp_replace("d", ",,", ",").alias("d")).agg(F.array_join(F.array_sort(F.collect_set("d")), ";").alias("drift"))
+    one = [x.withColumn("k", F.lit(1)) for x in (n, lost, drift)]
+    return one[0].join(one[1], "k").join(one[2], "k").drop("k")
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -92,7 +122,7 @@ def a6(spark, sf_dir):
     return out
 
 
-@register_raw("a7_write_run")
+@register_raw("a7_write_run", FLAGSHIP_SQL)
 def a7(spark, sf_dir):
     """Persist a run record (config, contract checks, metric) and read it back."""
     from staffrank.plans.flagship import activity_metric
@@ -293,6 +323,22 @@ def b8s(d):
     return rejected.select("id", F.array_join(F.array_sort("violations"), ",").alias("violations"))
 
 
+@register("b8_validate_batch", with_(ADAPTER) + """
+SELECT 'good' AS batch, CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS bad_rows, TRUE AS stored,
+       CAST(count(*) AS BIGINT) AS rows_in_store, CAST(0 AS BIGINT) AS rows_rejected FROM shifts
+UNION ALL SELECT 'bad', count(*), count(*) FILTER (WHERE capacity = 7), FALSE, 0, count(*) FROM shifts""")
+def b8b(d):
+    """Two uploads of the shifts, all or nothing: one is whole, in the other some capacities are 0."""
+    spark = d.users.sparkSession
+    target = f"{_scratch(spark, 'batches')}/shifts"
+    bad = d.shifts.withColumn("capacity", F.when(F.col("capacity") == 7, F.lit(0)).otherwise(F.col("capacity")))
+    told = spark.createDataFrame([B.commit_batch(df, "shifts", target, name) for name, df in (("good", d.shifts), ("bad", bad))],
+                                 "batch string, rows long, bad_rows long, stored boolean")
+    for path, name in ((target, "rows_in_store"), (f"{target}-rejected", "rows_rejected")):
+        told = told.join(spark.read.parquet(path).groupBy("batch").agg(F.count("*").alias(name)), "batch", "left")
+    return told.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("rows_in_store", "rows_rejected")})
+
+
 @register("b9_to_uuid", with_(ADAPTER) + """
 SELECT raw_id, substr(v, 1, 8) || '-' || substr(v, 9, 4) || '-' || substr(v, 13, 4) || '-'
        || substr(v, 17, 4) || '-' || substr(v, 21, 12) AS uuid FROM (

@@ -39,6 +39,27 @@ ev AS (
          CAST(ts AS TIMESTAMP) AS ts
   FROM ev_k)"""
 
+# Derived rows beside all real ones, for cases that the tables lack; ``plans.derived`` is the Spark twin.
+ORPHANS = """
+ev_o AS (SELECT * FROM ev UNION ALL
+  SELECT 'o' || id, 'gone_' || shift_id, user_id, interaction, ts FROM ev WHERE CAST(id AS BIGINT) % 10 = 0)"""
+TIMELESS = """
+ev_t AS (SELECT * FROM ev UNION ALL
+  SELECT 't' || id, shift_id, 't' || user_id, interaction, CAST(NULL AS TIMESTAMP) FROM ev WHERE CAST(id AS BIGINT) % 4 = 0)"""
+UNPAID = """
+shifts_n AS (SELECT * FROM shifts UNION ALL
+  SELECT 'n' || id, start_at, location_id, task_type, employer_id, workplace_id, need_mk, id_differential, hours,
+         CAST(NULL AS DOUBLE), capacity FROM shifts),
+ev_n AS (SELECT * FROM ev UNION ALL
+  SELECT 'n' || id, 'n' || shift_id, 'n' || user_id, interaction, ts FROM ev WHERE CAST(id AS BIGINT) % 4 = 0 UNION ALL
+  SELECT 'v' || id, shift_id, 'v' || user_id, interaction, ts FROM ev WHERE interaction <> 'APPLY' AND CAST(id AS BIGINT) % 4 = 1)"""
+UNWANTED = """
+shifts_w AS (SELECT * FROM shifts UNION ALL
+  SELECT 'w' || id, start_at, location_id, task_type, 'w' || employer_id, workplace_id, need_mk, id_differential, hours,
+         reward, capacity FROM shifts),
+ev_w AS (SELECT * FROM ev UNION ALL
+  SELECT 'w' || id, 'w' || shift_id, user_id, interaction, ts FROM ev WHERE interaction <> 'APPLY' AND CAST(id AS BIGINT) % 4 = 0)"""
+
 SPLIT_T = "TIMESTAMP '2024-01-16 00:00:00'"
 
 

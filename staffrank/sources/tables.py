@@ -74,6 +74,18 @@ def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # is coerced with the contract expressions; unparsable values become null.
 # ---------------------------------------------------------------------------------------------
 
+BROKEN = "_broken"  #: the text of a line that does not have its file's number of fields
+
+
+@dataclass(frozen=True)
+class Reading:
+    """What lies at a path: typed rows, the lines that could not be split into fields (file, line), and
+    one row for each file whose header is not the contract's (file, missing, extra, moved)."""
+    rows: DataFrame
+    rejected: DataFrame
+    drift: DataFrame
+
+
 def _load(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     if fmt == "csv":
@@ -82,6 +94,49 @@ def _load(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
+def csv_headers(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """(file, header) of the CSV files at ``path``: the first line of each that names at least half of the
+    table's required columns."""
+    names = F.transform(F.split("value", ","), lambda c: F.trim(F.translate(c, '"', "")))
+    named = F.size(F.array_intersect(names, F.array(*[F.lit(c) for c in REQUIRED[table]])))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    return (lines.where((F.col("at") == 0) & (2 * named >= len(REQUIRED[table])))
+            .groupBy("file").agg(F.first("value").alias("value")).select("file", names.alias("header")))
+
+
+def read_checked(spark: SparkSession, path: str, table: str) -> Reading:
+    """All CSV files below ``path``, each read by its own header.
+
+    Columns are matched by name, so files with moved, missing or extra columns are read together: a missing
+    required column is null, extra ones are left out, and the drift is reported.  A line with another
+    number of fields than its header is rejected with its text, not guessed.  Files are grouped by their
+    header, and headers are few: this list is all that the driver sees besides file names.
+    """
+    ensure_utc(spark)
+    want = REQUIRED[table]
+    found = csv_headers(spark, path, table).persist()
+    parts, broken = [], []
+    for (header,) in found.select("header").distinct().orderBy(F.array_join("header", ",")).collect():
+        files = [r.file for r in found.where(F.col("header") == F.array(*[F.lit(c) for c in header])).select("file").collect()]
+        schema = ", ".join(f"`{c}` string" for c in header) + f", {BROKEN} string"
+        df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", BROKEN)
+              .option("columnPruning", False)  # else fields that nobody asks for are not counted
+              .csv(files))
+        some = F.coalesce(*header, F.lit("")) >= ""  # always true; the reader refuses a query of broken lines alone
+        whole = df.where(F.col(BROKEN).isNull() & some)
+        parts.append(whole.select(*[F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in want]))
+        broken.append(df.where(F.col(BROKEN).isNotNull() & some).select(F.col("_metadata.file_path").alias("file"), F.col(BROKEN).alias("line")))
+    lits = F.array(*[F.lit(c) for c in want])
+    drift = found.select("file", F.array_except(lits, "header").alias("missing"), F.array_except("header", lits).alias("extra"),
+                         (F.array_intersect("header", lits) != F.array_intersect(lits, "header")).alias("moved"))
+    drift = drift.where((F.size("missing") > 0) | (F.size("extra") > 0) | F.col("moved"))
+    rows, lost = spark.createDataFrame([], ", ".join(f"{c} string" for c in want)), spark.createDataFrame([], "file string, line string")
+    for p, q in zip(parts, broken, strict=True):
+        rows, lost = rows.unionByName(p), lost.unionByName(q)
+    return Reading(COERCE[table](rows), lost, drift)
+
+
 def _missing(df: DataFrame, table: str) -> None:
     missing = sorted(set(REQUIRED[table]) - set(df.columns))
     if missing:
@@ -124,6 +179,9 @@ def coerce_apply(df: DataFrame) -> DataFrame:
                      to_date_or_null(F.col("date").cast("string")).alias("date"))
 
 
+COERCE = {"users": coerce_users, "shifts": coerce_shifts, "events": coerce_events, "apply": coerce_apply}
+
+
 def read_users(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """A1"""
     ensure_utc(spark)
