@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 CACHE_PIECES = 1 << 19  # distinct pieces (or token pairs) that a task remembers; then it starts anew
 CACHE_PIECE_BYTES = 64  # longer pieces are not remembered
-BATCH_BYTES = 8 << 20   # text encoded at once in a task
+STRIDE = 4              # the last tokens of a piece are remembered after so many bytes
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
@@ -37,11 +38,21 @@ class PrefixEncoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.longest = max(map(len, ranks))
+        # the tokens from their last byte on, as a tree: (node, byte before) -> node, and the token at a node
+        self._step: dict[int, int] = {}
+        self._ends: list[int] = [-1]
+        for token, rank in ranks.items():
+            node = 0
+            for b in reversed(token):
+                node = self._step.setdefault(node << 8 | b, len(self._ends))
+                if node == len(self._ends):
+                    self._ends.append(-1)
+            self._ends[node] = rank
         self._split: dict[int, tuple[int, int] | None] = {}
         self._right: dict[int, list[int]] = {}
         self._left: dict[int, list[int]] = {}
         self._fits: dict[int, bool] = {}
+        self._prefixes: dict[bytes, list[int]] = {}
 
     def split(self, t: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes t; (t, t) for a byte; None if merging never makes t."""
@@ -98,17 +109,27 @@ class PrefixEncoder:
 
     def extend(self, data: bytes, last: list[int]) -> None:
         """Append to ``last`` the last token of every prefix of data longer than len(last) bytes."""
-        ranks, token, split, fits = self.ranks, self.token, self._split, self.fits
+        step, ends, split, known, fits = self._step.get, self._ends, self._split, self._fits.get, self.fits
         for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - self.longest), end):
-                t = ranks.get(data[start:end])
-                if t is None:
-                    continue
-                if (split[t] if t in split else self.split(t)) is None:
-                    continue
-                if start == 0 or fits(last[start - 1], t):
-                    last.append(t)
+            node, found = 0, []
+            for start in range(end - 1, -1, -1):  # back over the bytes that some token ends with
+                node = step(node << 8 | data[start])
+                if node is None:
                     break
+                t = ends[node]
+                if t >= 0:
+                    if (split[t] if t in split else self.split(t)) is None:
+                        ends[node] = -1  # merging never makes this token
+                    else:
+                        found.append((start, t))
+            while found:
+                start, t = found.pop()
+                if start:
+                    stay = known(last[start - 1] << 32 | t)
+                    if not (fits(last[start - 1], t) if stay is None else stay):
+                        continue
+                last.append(t)
+                break
             else:
                 raise ValueError(f"no token ends byte {end} of a piece: {data[:end][-20:]!r}")
 
@@ -124,10 +145,21 @@ class PrefixEncoder:
         whole = self.ranks.get(data)
         if whole is not None:  # a piece that is a token is this token
             return [whole]
-        last: list[int] = []
+        last = self._begun(data, (len(data) - 1) // STRIDE * STRIDE) if STRIDE < len(data) <= CACHE_PIECE_BYTES else []
         self.extend(data, last)
         return self.read_back(last)
 
+    def _begun(self, data: bytes, n: int) -> list[int]:
+        """A copy of the last tokens of the first n bytes, a multiple of ``STRIDE``: many pieces begin alike."""
+        last = self._prefixes.get(data[:n])
+        if last is None:
+            last = self._begun(data, n - STRIDE) if n > STRIDE else []
+            self.extend(data[:n], last)
+            if len(self._prefixes) >= CACHE_PIECES // 4:
+                self._prefixes.clear()
+            self._prefixes[data[:n]] = last
+        return last.copy()
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
@@ -174,6 +206,12 @@ class TextEncoder:
         return np.frombuffer(b"".join([known(p) or encode(p) for p in self.pieces(text)]), dtype=np.int32)
 
 
+@lru_cache(maxsize=2)
+def text_encoder(content: bytes, pattern: str) -> TextEncoder:
+    """The encoder of a vocabulary file: one for all tasks of a worker, with the pieces that it remembers."""
+    return TextEncoder(parse_ranks(content), pattern)
+
+
 ENCODED = "ids array<int>, decoded binary"
 _TYPE = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
 
@@ -196,7 +234,7 @@ def round_trip(spark: SparkSession, ranks_path: str, pattern: str, text: Column)
 
     @F.arrow_udf(ENCODED)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        texts = TextEncoder(parse_ranks(content.value), pattern)
+        texts = text_encoder(content.value, pattern)
         token = texts.encoder.token.__getitem__
         for batch in batches:
             ids = [texts.encode(t) if t else np.zeros(0, np.int32) for t in (x.as_py() for x in batch)]
