@@ -38,6 +38,7 @@ COMMON_WORDS = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un", "por", "con", "no", "una"],
 }
 _N_COMMON = 16
+_LONGEST = max(len(w.encode()) for words in COMMON_WORDS.values() for w in words)
 _WORDS = 100  # number of the first common-word bin in the reference counts
 _CLASSES = {  # counted by pattern; blanks, and plain letters with digits, are what remains
     "upper": "[A-Z]", "sentence": "[.,;:!?'\"()\\-]",
@@ -45,6 +46,11 @@ _CLASSES = {  # counted by pattern; blanks, and plain letters with digits, are w
 }
 
 
+def _count(pattern: str) -> Column:
+    """How many characters of the text a pattern of one character matches: the text falls into one part more."""
+    return F.size(F.split("_q_text", pattern, -1)) - 1
+
+
 def _base(docs: DataFrame) -> DataFrame:
     """Add the columns that both the references and the verdict need."""
     lists = F.create_map(*[x for lang, words in COMMON_WORDS.items() for x in (F.lit(lang), F.array(*map(F.lit, words)))])
@@ -54,7 +60,7 @@ def _base(docs: DataFrame) -> DataFrame:
         "_q_words": F.filter(F.split("_q_text", _SPACE), lambda w: w != ""),
         "_q_list": F.coalesce(F.element_at(lists, F.col("_q_lang")), F.array().cast("array<string>")),
     })
-    counts = {f"_q_{name}": F.regexp_count("_q_text", F.lit(pattern)) for name, pattern in _CLASSES.items()}
+    counts = {f"_q_{name}": _count(pattern) for name, pattern in _CLASSES.items()}
     df = df.withColumns({"n_words": F.size("_q_words").cast("long"), **counts,
                          "word_chars": F.char_length(F.array_join("_q_words", "")).cast("long"),
                          "_q_length": F.char_length("_q_text")})
@@ -62,7 +68,9 @@ def _base(docs: DataFrame) -> DataFrame:
     plain = F.col("word_chars") - sum((F.col(f"_q_{name}") for name in _CLASSES), F.lit(0))
     chars = F.array(*[F.col(f"_q_{name}").cast("double") for name in _CLASSES], blank.cast("double"), plain.cast("double"))
     # positions in the word list; with one sentinel of each, sorted, a word's count is a difference of places
-    found = F.filter(F.transform("_q_words", lambda w: F.array_position("_q_list", F.lower(w)).cast("int")), lambda k: k > 0)
+    # no longer word is in a list (lower case does not shorten a word to one that is)
+    short = F.filter("_q_words", lambda w: F.octet_length(w) <= _LONGEST)
+    found = F.filter(F.transform(short, lambda w: F.array_position("_q_list", F.lower(w)).cast("int")), lambda k: k > 0)
     df = df.withColumn("_q_found", F.sort_array(F.concat(found, F.sequence(F.lit(1), F.lit(_N_COMMON + 1)))))
     common = F.transform(F.sequence(F.lit(1), F.lit(_N_COMMON)), lambda k: (
         F.array_position("_q_found", k + 1) - F.array_position("_q_found", k) - 1).cast("double"))
@@ -154,7 +162,7 @@ def judge(docs: DataFrame) -> DataFrame:
     df = _base(docs)
     lines = F.filter(F.split("_q_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumns({
-        "n_symbols": F.regexp_count("_q_text", F.lit("[#*$%&|<>]")).cast("long"),
+        "n_symbols": _count("[#*$%&|<>]").cast("long"),
         "_q_lines": lines,
         "_q_places": F.expr("shiftleft(1L, length(bin(n_words)))"),
     }).withColumn("_q_packed", _repeated_words())
