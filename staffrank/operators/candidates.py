@@ -160,11 +160,19 @@ def fallback_top(shifts: DataFrame, users: DataFrame, events: DataFrame, limit:
 def candidate_cascade(shifts: DataFrame, users: DataFrame, events: DataFrame, activity: DataFrame,
                       limit: int = 300, store_limit: int = 10) -> DataFrame:
     """Per shift the first non-empty source of C4 (``limit``), C5 and C6 (``store_limit``,
-    the request size); tagged with ``source``."""
+    the request size); tagged with ``source``.
+
+    Sizes decide first: a shift whose location has users has C4 candidates.  Only the shifts of other
+    locations, usually none, are followed through the sources, so the events are not read for lists
+    that no shift takes."""
     c4 = candidates(shifts, activity, limit).withColumn("source", F.lit("location_cache"))
-    c5 = eligible_top(shifts, users, events, store_limit).withColumn("source", F.lit("eligible"))
-    c6 = fallback_top(shifts, users, events, store_limit).withColumn("source", F.lit("global"))
-    have4 = c4.select("shift_id").distinct()
+    peopled = users.where(F.col("location_id").isNotNull()).select("location_id").distinct()
+    rest = shifts.join(peopled, "location_id", "left_anti").select(*shifts.columns)
+    if rest.isEmpty():
+        return c4
+    have4 = (candidates(rest, activity, limit).select("shift_id").distinct())
+    c5 = eligible_top(rest, users, events, store_limit).withColumn("source", F.lit("eligible"))
+    c6 = fallback_top(rest, users, events, store_limit).withColumn("source", F.lit("global"))
     c5 = c5.join(have4, "shift_id", "left_anti")
     have45 = have4.unionByName(c5.select("shift_id").distinct())
     c6 = c6.join(have45, "shift_id", "left_anti")

@@ -16,10 +16,10 @@ def cancelled_shifts(events: DataFrame) -> DataFrame:
 
 
 def pair_table(events: DataFrame, shifts: DataFrame) -> DataFrame:
-    """What the labels need of every (user, shift) pair, from one scan of the events.
+    """What the labels need of every (user, shift) pair.
 
     APPLY, VIEW and cancel rows feed one GROUPING SETS aggregate over (user, shift) and (shift);
-    cancelled shifts leave by a join of its two small results.  ``positive`` (F2): an APPLY at or
+    cancelled shifts leave by a join of its two results.  ``positive`` (F2): an APPLY at or
     before the start (kept when either time is null) of a shift without SYSTEM_CANCEL.  ``seen``: a
     VIEW or USER_CANCEL."""
     st = shifts.select(F.col("id").alias("shift_id"), "start_at")

@@ -111,3 +111,17 @@ def test_percentiles_of_a_value_that_most_rows_share(spark):
     assert got["never"]["count"] == 0 and got["never"].b is None
     med = {(r.g, r.p, r.q) for r in Q.exact_medians(df, {"x": "p", "y": "q"}, ["g"]).collect()}
     assert med == {(r.g, r.p, r.q) for r in df.groupBy("g").agg(F.percentile("x", 0.5).alias("p"), F.percentile("y", 0.5).alias("q")).collect()}
+
+
+def test_cascade_reads_no_further_source_when_all_locations_have_users(spark):
+    users = spark.createDataFrame([(str(i), "a", False, i % 2 == 0) for i in range(60)] + [("x", "b", False, True)],
+                                  "id string, location_id string, is_strict_location boolean, has_mk boolean")
+    events = spark.createDataFrame([("e1", "s1", "3"), ("e2", "s1", "3"), ("e3", "s1", "x")], "id string, shift_id string, user_id string")
+    shifts = lambda *rows: spark.createDataFrame(rows, "id string, location_id string, need_mk boolean")
+    act = C.user_activity(users, events)
+    near = C.candidate_cascade(shifts(("s1", "a", True), ("s2", "b", None)), users, events, act, 10, 2)
+    assert "eligible" not in near._jdf.queryExecution().analyzed().toString()
+    far = C.candidate_cascade(shifts(("s1", "a", True), ("s3", "nowhere", True), ("s4", None, True)), users, events, act, 10, 2)
+    got = {(r.shift_id, r.source): r.n for r in far.groupBy("shift_id", "source").agg(F.count("*").alias("n")).collect()}
+    assert got[("s1", "location_cache")] == 10 and got[("s3", "location_cache")] == 10
+    assert len({s for s, _ in got}) == len(got)  # one source a shift

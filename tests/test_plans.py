@@ -48,3 +48,27 @@ def test_history_state_scans_events_once(spark):
     p = plan(D.history_facts(d.events, d.shifts))
     assert p.count("events.parquet") == 1
     assert "Expand" in p
+
+
+def test_labels_scan_events_for_the_pair_table_only(spark):
+    from staffrank.operators import labels as L
+    from staffrank.sources.tables import testdata_domain as load_domain
+    d = load_domain(spark, SF_SMALL)
+    assert plan(L.pair_table(d.events, d.shifts)).count("events.parquet") <= 2  # pairs, cancelled shifts
+    # the split and the choice of negatives read the written pair table
+    assert "events.parquet" not in plan(L.stratified_split(L.labelled_pairs(d.events, d.shifts)))
+
+
+def test_state_tables_scan_their_own_facts(spark):
+    from staffrank.operators import features as E26
+    from staffrank.sources.tables import testdata_domain as load_domain
+    d = load_domain(spark, SF_SMALL)
+    state = E26.build_state(d.users, d.shifts, d.events)
+    p = plan(state.user_location)
+    assert "user_location" in p[p.index("PartitionFilters"):] and "events.parquet" not in p
+    assert "employer_id" not in p[p.index("ReadSchema"):]
+
+
+def test_describe_counts_values_in_one_pass(spark):
+    p = plan(QUERIES["j25_describe"](spark, SF_SMALL))
+    assert p.count("Exchange") <= 20 and "events.parquet" not in p
