@@ -312,6 +312,23 @@ def test_line_edges_and_near_threshold(spark):
     assert remove_boilerplate(df.limit(0)).count() == 0
 
 
+def test_lines_of_long_texts_frequent_lines_and_rows_without_id(spark):
+    """A text of 200,000 boilerplate lines, 10,000 rows without id and a line on half of all rows: work grows with the lines."""
+    import time
+
+    from staffrank.llm.line_dedup import remove_boilerplate
+
+    shared = [f"shared {k}" for k in range(200_000)]
+    rows = [(k, "\n".join([f"first {k}", *shared, f"last {k}"]), f"site{k}") for k in range(10)]
+    rows += [(None, f"row {k % 5000}\nshared 7\nmenu", f"site{k % 30}") for k in range(10_000)]
+    rows += [(None, "row without id", "site1")] * 3000 + [(100 + k, f"menu\nnews {k}", f"site{k % 30}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8)
+    start = time.time()
+    got = rows_of(remove_boilerplate(df), "doc_id", "n_lines", "n_removed", "text")
+    assert time.time() - start < 90
+    assert got == sorted(brute.spread_lines(rows), key=brute.key)
+
+
 # ---- 9 url filters
 
 def test_url_query(spark, pages):
