@@ -35,7 +35,7 @@ MASS = 16.0              # weight of the word distribution in a bigram's estimat
 SHARD_BYTES = 4 << 20
 BUCKET_ENTRIES = 1 << 20
 
-_UNKNOWN, _START, _TOTAL = np.uint64(1), np.uint64(2), np.uint64(3)
+_UNKNOWN, _START, _TOTAL, _VOCABULARY = (np.uint64(k) for k in range(1, 5))
 _ASK = "bucket int, shard int, kind int, entries binary, target binary, background binary"
 _ANSWER = "shard int, kind int, bucket int, entries binary, target binary, background binary, vocabulary long"
 RESULT = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
@@ -68,9 +68,10 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _ranges(entries: np.ndarray, bits: int):
-    """(bucket, lo, hi) of sorted entries, for every bucket, empty ones too."""
-    edge = np.searchsorted(entries >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(entries)])
-    return [(b, int(edge[b]), int(edge[b + 1])) for b in range(1 << bits)]
+    """(bucket, lo, hi) of sorted entries, for the buckets that have some: never more rows than entries."""
+    bucket = (entries >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(entries), np.int64)
+    edge = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(entries)]
+    return [(int(bucket[i]), i, j) for i, j in zip(edge, edge[1:]) if j > i]
 
 
 def _asks(shard: int, kind: int, entries: np.ndarray, target: np.ndarray, background: np.ndarray, bits: int) -> pd.DataFrame:
@@ -100,8 +101,8 @@ def _ask_words(bits: int):
 
 def _answer(min_count: int):
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One bucket of one kind.  Words: which of each shard's are in the vocabulary.  Counts:
-        the sums of the entries of each shard, in its order."""
+        """One bucket of one kind.  Words: which of each shard's are in the vocabulary, and to one
+        of the shards how many are.  Counts: the sums of the entries of each shard, in its order."""
         words = pdf["kind"].iloc[0] == 0
         lists = [_unpack(x) for x in pdf["entries"]]
         entries, where = np.unique(np.concatenate(lists), return_inverse=True)
@@ -109,10 +110,11 @@ def _answer(min_count: int):
         target, background = add("target"), add("background")
         known = target >= min_count
         cut = np.cumsum([len(x) for x in lists])[:-1]
-        rows = []
+        rows, asking = [], sorted(set(pdf["shard"]))
+        teller = asking[int(pdf["bucket"].iloc[0]) % len(asking)]
         for shard, bucket, mine, at in zip(pdf["shard"], pdf["bucket"], lists, np.split(where, cut), strict=True):
             if words:
-                rows.append((shard, 0, bucket, len(mine).to_bytes(4, "little") + np.packbits(known[at]).tobytes(), b"", b"", int(known.sum())))
+                rows.append((shard, 0, bucket, len(mine).to_bytes(4, "little") + np.packbits(known[at]).tobytes(), b"", b"", int(known.sum()) if shard == teller else 0))
             else:
                 rows.append((shard, 1, bucket, b"", _squeeze(target[at].astype(np.uint64)), _squeeze(background[at].astype(np.uint64)), 0))
         return pd.DataFrame(rows, columns=["shard", "kind", "bucket", "entries", "target", "background", "vocabulary"])
@@ -133,8 +135,9 @@ def _entries(table: WordTable, told: pd.DataFrame) -> tuple[np.ndarray, np.ndarr
 
 
 def _distinct(table: WordTable, told: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct entries, and the places in them of all bigrams, contexts, words and, last, the total."""
-    entries, where = np.unique(np.concatenate((*_entries(table, told), [_TOTAL])), return_inverse=True)
+    """Sorted distinct entries, and the places in them of all bigrams, contexts, words and, last, the
+    total and the size of the vocabulary."""
+    entries, where = np.unique(np.concatenate((*_entries(table, told), [_TOTAL, _VOCABULARY])), return_inverse=True)
     return entries, where
 
 
@@ -142,9 +145,10 @@ def _ask_counts(bits: int):
     def ask(key, pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         _, table, target = _read(pdf)
         entries, where = _distinct(table, told)
-        counts = np.bincount(where[:-1], minlength=len(entries))
-        chosen = np.bincount(where[:-1][np.tile(target, 3)], minlength=len(entries))
-        counts[where[-1]], chosen[where[-1]] = len(target), int(target.sum())
+        counts = np.bincount(where[:-2], minlength=len(entries))
+        chosen = np.bincount(where[:-2][np.tile(target, 3)], minlength=len(entries))
+        counts[where[-2]], chosen[where[-2]] = len(target), int(target.sum())
+        counts[where[-1]] = chosen[where[-1]] = int(told["vocabulary"].sum())
         return _asks(key[0], 1, entries, chosen, counts, bits)
 
     return ask
@@ -160,11 +164,11 @@ def _score(mass: float):
     def score(key, pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         docs, table, _ = _read(pdf)
         _, where = _distinct(table, told)
-        n, size = len(table.hash), int(told.loc[told["kind"] == 0, "vocabulary"].sum()) + 1
+        n = len(table.hash)
         loss = {}
         for model in ("target", "background"):
             count = _counts(told, model)[where]
-            base = (count[2 * n: 3 * n] + 1) / (count[3 * n] + size)
+            base = (count[2 * n: 3 * n] + 1) / (count[3 * n] + count[3 * n + 1] + 1)
             p = (count[:n] + mass * base) / (count[n: 2 * n] + mass)
             loss[model] = np.bincount(table.doc, -np.log2(p), minlength=len(docs))
         with np.errstate(invalid="ignore", divide="ignore"):
