@@ -1,6 +1,7 @@
 """Substring dedup: Rabin-Karp hashes of every fixed-length token window, counted in Spark.
 
-The documents are dealt into *shards*: consecutive ranges of ``doc_id`` of a few MB of text each.
+The documents are dealt into *shards*: consecutive ranges of ``doc_id`` of a few MB of text each, cut
+at quantiles of the ids weighted by bytes.
 One job runs three steps on them:
 
 1. **emit** (per shard): hash every window of ``width`` words, keep each hash once, and deal the
@@ -18,60 +19,66 @@ than one shard of text or one bucket of hashes.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffrank.llm.words import WordTable, rolling_hash
+from staffrank.session import ensure_checkpoint_dir
 
 WIDTH = 13
 SHARD_BYTES = 4 << 20
 BUCKET_HASHES = 1 << 20
-_CELLS = 4096
+FAN = 4096       # shards of one group of ranges
+_CELL = 1 << 14  # numbers kept for the ranges of a group: its shards, and three for each id with many rows
+_SUB = 20
 
 RESULT = ("doc_id long, n_words long, n_removed long, "
           "intervals array<struct<start:int,stop:int>>, kept_text string")
 
 
-def range_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int, int]:
+def _place(borders: str, column: str = "doc_id") -> Column:
+    """How many of the sorted borders lie under the column: a binary search."""
+    steps = ", ".join(str(1 << k) for k in range(_CELL.bit_length() - 2, -1, -1))
+    return F.expr(f"aggregate(array({steps}), 0, (at, step) -> IF(coalesce(get({borders}, at + step - 1) < {column}, false), at + step, at))")
+
+
+def range_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES, fan: int = FAN) -> tuple[DataFrame, int]:
     """Add ``shard``: the number of a ``doc_id`` range of about ``shard_bytes`` of text.
 
-    Two small aggregates find the ranges: the span of the ids, then the bytes in at most 4096
-    equal-width cells of it (all that reaches the driver).  Cells join up, or split evenly, to the
-    wanted size.  Rows without an id get negative shards by a hash of their text; they are never
-    compared.  Returns the table, the number of shards and the bytes of text.
+    The borders are quantiles of ``doc_id`` weighted by bytes, however the ids are spread: first of
+    groups of up to ``fan`` shards, then of the shards of each group (8 bytes a shard: this table is
+    broadcast).  An id whose rows alone fill several shards is a range of its own, dealt by the text
+    over numbers that share all but their low ``_SUB`` bits; its rows are not compared with each
+    other.  Rows without an id get negative shards by a hash of their text; they are never compared.
+    Returns the table and the bytes of text.
     """
-    lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    text_bytes = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)
-    salt = F.pmod(F.xxhash64("text"), F.lit(64)).cast("int")
-    if lo is None:
-        return docs.withColumn("shard", (-1 - salt).cast("int")), 1, 0
-    shift = max(0, int(hi - lo).bit_length() - _CELLS.bit_length() + 1)
-    offset = F.col("doc_id").cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)")
-    narrow = hi - lo < 1 << 63
-    offset = (F.col("doc_id") - F.lit(lo)) if narrow else F.floor(offset / 2).cast("long")
-    shift = shift if narrow else max(0, shift - 1)
-    cell = F.shiftright(offset, shift).cast("int")
-    found = dict(docs.where("doc_id IS NOT NULL").groupBy(cell.alias("cell"))
-                 .agg(text_bytes.alias("bytes")).collect())
-    cells = max(found) + 1
-    first, parts, shard, filled = [0] * cells, [1] * cells, 0, 0
-    for c in range(cells):
-        size = found.get(c, 0)
-        if filled and filled + size > shard_bytes:
-            shard, filled = shard + 1, 0
-        first[c], parts[c] = shard, max(1, min(-(-size // shard_bytes), 1 << min(shift, 20)))
-        if parts[c] > 1:
-            shard, filled = shard + parts[c], 0
-        else:
-            filled += size
-    array = lambda xs: F.expr(f"array({','.join(map(str, xs))})")
-    inside = offset - F.shiftleft(cell.cast("long"), shift)
-    # ids within a cell are cut at even widths: the part number grows with the id
-    part = F.shiftright(F.shiftright(inside, max(0, shift - 20)) * F.element_at(array(parts), cell + 1), min(shift, 20))
-    shards = F.when(F.col("doc_id").isNull(), -1 - salt).otherwise(F.element_at(array(first), cell + 1) + part.cast("int"))
-    return docs.withColumn("shard", shards.cast("int")), shard + 1, sum(found.values())
+    ensure_checkpoint_dir(docs.sparkSession)
+    sized = docs.where("doc_id IS NOT NULL").select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("bytes"))
+    total = sized.agg(F.sum("bytes")).first()[0] or 0
+    n = max(2, -(-total // shard_bytes))
+    tops = -(-n // fan)
+    fan = max(2, -(-n // tops))
+    # a text counts once for each started unit
+    units = sized.select("doc_id", F.explode(F.expr(f"sequence(0L, bytes DIV {max(1, min(1024, shard_bytes // 8))})")))
+    cuts = lambda parts: F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 16 * parts)
+    top_borders = json.dumps(list(units.agg(cuts(tops)).first()[0] or []) if tops > 1 else [])
+    top = lambda column: _place(f"from_json('{top_borders}', 'array<bigint>')", column)
+    heavy = (sized.groupBy("doc_id").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows"))
+             .where((F.col("rows") > 1) & (F.col("bytes") > 4 * shard_bytes))  # fewer than the shards
+             .select(F.col("doc_id").alias("heavy_id"), F.ceil(F.col("bytes") / shard_bytes).alias("subs")).checkpoint())
+    own = heavy.select(top("heavy_id").alias("top"), F.explode(F.expr("array(try_subtract(heavy_id, 1L), heavy_id)")).alias("border"))
+    cells = units.groupBy(top("doc_id").alias("top")).agg(cuts(fan).alias("borders"))
+    cells = cells.join(own.groupBy("top").agg(F.collect_list("border").alias("own")), "top", "left").select(
+        F.col("top").alias("of_top"), F.array_sort(F.concat("borders", F.coalesce("own", F.array().cast("array<bigint>")))).alias("borders")).checkpoint()
+    salt = F.pmod(F.xxhash64("text"), F.lit(64))
+    rows = docs.withColumn("top", top("doc_id"))
+    rows = rows.join(F.broadcast(cells), F.col("top") == F.col("of_top"), "left").join(F.broadcast(heavy), F.col("doc_id") == F.col("heavy_id"), "left")
+    number = F.shiftleft(F.col("top").cast("long") * _CELL + _place("borders"), _SUB) + F.coalesce(F.pmod(F.xxhash64("text"), F.col("subs")), F.lit(0))
+    return rows.select(*docs.columns, F.when(F.col("doc_id").isNull(), -1 - salt).otherwise(number).alias("shard")), total
 
 
 def _windows(pdf: pd.DataFrame, width: int):
@@ -104,7 +111,9 @@ def _count(pdf: pd.DataFrame) -> pd.DataFrame:
     shard = np.repeat(pdf["shard"].to_numpy(), [len(x) for x in lists])
     hashes = np.concatenate(lists)
     order = np.argsort(hashes, kind="stable")  # equal hashes stay in shard order
-    again = order[1:][hashes[order[1:]] == hashes[order[:-1]]]
+    new = np.concatenate(([True], hashes[order[1:]] != hashes[order[:-1]]))
+    ranges = shard[order] >> _SUB
+    again = order[ranges > ranges[np.flatnonzero(new)][np.cumsum(new) - 1]]  # a lower range has them
     again = again[np.argsort(shard[again], kind="stable")]
     where, repeats = shard[again], hashes[again]
     cut = np.flatnonzero(np.diff(where)) + 1
@@ -164,11 +173,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, shard_bytes: int = SHARD
     a null ``doc_id`` compares with nothing, so its row stays whole and removes nothing; an empty
     table gives an empty table.
     """
-    rows, n_shards, size = range_shards(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), shard_bytes)
+    rows, size = range_shards(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), shard_bytes)
     bits = max(0, (max(1, size // 6) // bucket_hashes).bit_length())
     spark = docs.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = rows.repartition(tasks, "shard")
-    hashes = dealt.groupBy("shard").applyInPandas(_emitter(width, bits), "bucket int, shard int, hashes binary")
-    repeats = hashes.groupBy("bucket").applyInPandas(_count, "shard int, repeats binary")
+    hashes = dealt.groupBy("shard").applyInPandas(_emitter(width, bits), "bucket int, shard long, hashes binary")
+    repeats = hashes.groupBy("bucket").applyInPandas(_count, "shard long, repeats binary")
     return dealt.groupBy("shard").cogroup(repeats.groupBy("shard")).applyInPandas(_remover(width), RESULT)

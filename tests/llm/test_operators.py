@@ -95,6 +95,30 @@ def test_substring_many_shards_and_buckets(spark, shard_bytes):
         assert all(a.stop < b.start for a, b in zip(r.intervals, r.intervals[1:], strict=False))  # maximal
 
 
+@pytest.mark.parametrize("fan", [4, 4096])
+def test_substring_shards_of_uneven_ids(spark, fan):
+    """One far id, sources in the high bits and an id with a third of all rows: shards stay near their size, in order of id."""
+    from staffrank.llm.substring_dedup import range_shards, remove_repeats
+
+    ids = [*range(0, 1200, 2), 1 << 60, *((s << 40) + k for s in (1, 2, 7) for k in range(200)), *[5 << 40] * 600, -(1 << 63), (1 << 63) - 1]
+    table = [(i, f"own{k} " + " ".join(f"w{(k * 7 + j) % 50}" for j in range(40))) for k, i in enumerate(ids)]
+    table += [(5 << 40, table[-5][1]), (None, table[0][1])]
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(5)
+    shards, size = range_shards(df, 4000, fan)
+    rows = shards.where("doc_id IS NOT NULL").select("doc_id", "shard", (F.octet_length("text") + 16).alias("bytes")).collect()
+    held = Counter()
+    for r in rows:
+        held[r.shard] += r.bytes
+    assert size == sum(held.values()) and max(held.values()) < 8000 and len(held) >= size // 8000
+    numbers = sorted((r.doc_id, r.shard >> 20) for r in rows)
+    assert all(a[1] <= b[1] for a, b in zip(numbers, numbers[1:], strict=False))
+    own = {n for i, n in numbers if i == 5 << 40}
+    assert len(own) == 1 and {i for i, n in numbers if n in own} == {5 << 40}
+    assert len({r.shard for r in rows if r.doc_id == 5 << 40}) > 4
+    got = remove_repeats(df, shard_bytes=4000, bucket_hashes=64).withColumn("sha", F.sha2("kept_text", 256))
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "sha") == sorted(brute.substring(table), key=brute.key)
+
+
 def test_substring_edges(spark, edge):
     from staffrank.llm.substring_dedup import remove_repeats
 
