@@ -24,10 +24,14 @@ from __future__ import annotations
 
 import html as entities
 import json
+import math
 import re
+import sys
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +44,7 @@ MIN_TEMPLATE_PAGES = 3       # pages that must share a text before it counts as
 BROADCAST_BYTES = 32 << 20   # wrappers up to this size are broadcast; more are joined by host
 HELD_HOSTS = 2000            # wrappers a task holds before it passes them on
 MAX_PERIOD = 3
-MAX_DEPTH = 120              # elements nested deeper are read as if they were not nested
-MAX_ALIGN = 1 << 20          # cells of an exact alignment; longer lists are aligned from left to right
+WHOLE_TABLE = 1 << 20        # cells of an alignment that are held at once; of longer lists every so many rows
 SALTS = 32
 
 _TOKEN = re.compile(r"""(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>])*)(?:>|\Z)""")
@@ -69,17 +72,37 @@ class Node:
         self.key, self.children, self.text, self.optional, self.repeated = key, children if children is not None else [], text, optional, repeated
 
     def pack(self) -> list:
-        return [self.key, int(self.optional) | 2 * self.repeated, self.text, [c.pack() for c in self.children]]
+        """Key, flags, text and number of children of each node, parents first."""
+        out, ahead = [], [self]
+        while ahead:
+            node = ahead.pop()
+            out += (node.key, int(node.optional) | 2 * node.repeated, node.text, len(node.children))
+            ahead += reversed(node.children)
+        return out
 
     @staticmethod
     def unpack(x: list) -> Node:
-        return Node(x[0], [Node.unpack(c) for c in x[3]], x[2], bool(x[1] & 1), bool(x[1] & 2))
+        _allow_depth()
+        root = Node("")
+        ahead = [root]
+        for k in range(0, len(x), 4):
+            parent, node = ahead.pop(), Node(x[k], None, x[k + 2], bool(x[k + 1] & 1), bool(x[k + 1] & 2))
+            parent.children.append(node)
+            ahead += [node] * x[k + 3]
+        return root.children[0]
+
+
+def _allow_depth() -> None:
+    """Elements may be nested as deep as a page likes: plain function calls take no stack but the heap's."""
+    sys.setrecursionlimit(1 << 30)
 
 
 def parse(page: str | None) -> Node:
     """Tree of a page; unclosed elements end where HTML lets them, at the latest with their parent."""
+    _allow_depth()
     root = Node("")
     open_nodes, names, page = [root], [""], page or ""
+    n_open: Counter[str] = Counter()
 
     def add_text(text: str) -> None:
         text = entities.unescape(text)
@@ -92,6 +115,7 @@ def parse(page: str | None) -> Node:
             here.append(Node("#", text=text))
 
     def close_from(k: int) -> None:
+        n_open.subtract(names[k:])
         del open_nodes[k:], names[k:]
 
     end = 0
@@ -103,12 +127,17 @@ def parse(page: str | None) -> Node:
             continue
         name = m[3].lower()
         if m[2]:
-            if name in names:
-                close_from(len(names) - 1 - names[::-1].index(name))
+            if n_open[name]:
+                k = len(names) - 1
+                while names[k] != name:
+                    k -= 1
+                close_from(k)
             continue
-        if name in CLOSES_P and "p" in names:
-            k = len(names) - 1 - names[::-1].index("p")
-            if all(n in INLINE for n in names[k + 1:]):
+        if name in CLOSES_P and n_open["p"]:
+            k = len(names) - 1
+            while names[k] in INLINE:
+                k -= 1
+            if names[k] == "p":
                 close_from(k)
         for sibling in _SIBLINGS.get(name, ()):
             k = len(names) - 1
@@ -119,9 +148,10 @@ def parse(page: str | None) -> Node:
         words = sorted({w for c in _CLASS.findall(m[4] or "") for w in re.split(r"[^a-z]+", "".join(c).lower()) if w}) if m[4] and "=" in m[4] else ()
         node = Node(".".join([name, *words]))
         open_nodes[-1].children.append(node)
-        if name not in VOID and not (m[4] or "").endswith("/") and len(names) < MAX_DEPTH:
+        if name not in VOID and not (m[4] or "").endswith("/"):
             open_nodes.append(node)
             names.append(name)
+            n_open[name] += 1
     if end < len(page):
         add_text(page[end:])
     return root
@@ -196,19 +226,14 @@ def align(xs: list[Node], ys: list[Node]) -> list[Node]:
     if len(xs) == len(ys) and all(x.key == y.key for x, y in zip(xs, ys, strict=True)):
         return [merge(x, y) for x, y in zip(xs, ys, strict=True)]
     n, m = len(xs), len(ys)
-    if n * m > MAX_ALIGN:
-        return _align_in_order(xs, ys)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if xs[i].key == ys[j].key else max(best[i + 1][j], best[i][j + 1])
+    best = _most_equal(xs, ys)
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and xs[i].key == ys[j].key:
             out.append(merge(xs[i], ys[j]))
             i, j = i + 1, j + 1
         else:
-            if j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
+            if j == m or (i < n and best(i + 1)[j] >= best(i)[j + 1]):
                 lone, i = xs[i], i + 1
             else:
                 lone, j = ys[j], j + 1
@@ -216,24 +241,47 @@ def align(xs: list[Node], ys: list[Node]) -> list[Node]:
     return fold(out)
 
 
-def _align_in_order(xs: list[Node], ys: list[Node]) -> list[Node]:
-    """Each x meets the next y of its key; what is passed over becomes optional.  Linear time."""
-    places: dict[str, list[int]] = {}
-    for j in range(len(ys) - 1, -1, -1):
-        places.setdefault(ys[j].key, []).append(j)
-    out, j = [], 0
-    lone = lambda n: Node(n.key, n.children, n.text, True, n.repeated)
-    for x in xs:
-        at = places.get(x.key, [])
-        while at and at[-1] < j:
-            at.pop()
-        if at:
-            out += [lone(y) for y in ys[j: at[-1]]]
-            out.append(merge(x, ys[at[-1]]))
-            j = at.pop() + 1
-        else:
-            out.append(lone(x))
-    return fold(out + [lone(y) for y in ys[j:]])
+def _most_equal(xs: list[Node], ys: list[Node]) -> Callable[[int], list[int] | np.ndarray]:
+    """Row i of a table: how many equal keys can be paired, in order, of xs[i:] and ys[j:] for each j.
+
+    Rows are asked for in rising order.  A small table is kept whole; of a larger one every so many
+    rows, from which the rows between are made again: the same values in little memory.
+    """
+    n, m = len(xs), len(ys)
+    if n * m <= WHOLE_TABLE:
+        best = [[0] * (m + 1) for _ in range(n + 1)]
+        for i in range(n - 1, -1, -1):
+            for j in range(m - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if xs[i].key == ys[j].key else max(best[i + 1][j], best[i][j + 1])
+        return best.__getitem__
+    number: dict[str, int] = {}
+    mine = [number.setdefault(x.key, len(number)) for x in xs]
+    theirs = np.array([number.setdefault(y.key, len(number)) for y in ys])
+
+    def before(row: np.ndarray, key: int) -> np.ndarray:
+        found = row.copy()
+        np.maximum(found[:-1], (row[1:] + 1) * (theirs == key), out=found[:-1])
+        return np.maximum.accumulate(found[::-1])[::-1]
+
+    stride = math.isqrt(n) + 1
+    row = np.zeros(m + 1, dtype=np.int32)
+    kept, near = {n: row}, {}
+    for i in range(n - 1, -1, -1):
+        row = before(row, mine[i])
+        if i % stride == 0:
+            kept[i] = row
+
+    def ask(i: int) -> np.ndarray:
+        if i not in near:
+            low = i - i % stride
+            high = min(low + stride, n)
+            near.clear()
+            near[high] = kept[high]
+            for k in range(high - 1, low - 1, -1):
+                near[k] = before(near[k + 1], mine[k])
+        return near[i]
+
+    return ask
 
 
 def expression(node: Node) -> str:
@@ -241,7 +289,7 @@ def expression(node: Node) -> str:
     if node.key == "#":
         inner = "#text" if node.text is None else f"#{node.text}"
     else:
-        body = "".join(map(expression, node.children))
+        body = "".join([expression(c) for c in node.children])
         inner = body if node.key in ("", "()") else f"<{node.key}>{body}"
     mark = "*" if node.optional and node.repeated else "?" if node.optional else "+" if node.repeated else ""
     return f"({inner}){mark}" if mark else inner
@@ -373,7 +421,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     A column ``text`` in ``pages`` is replaced.  Defined cases: a null or empty html has an empty
     text; a null url, or one without a host, belongs to the host ''; pages cut off in a tag, comment
-    or element end there; elements nested over 120 deep are read as siblings; character references are decoded as browsers do, also without a semicolon;
+    or element end there; elements may be nested to any depth; character references are decoded as browsers do, also without a semicolon;
     equal rows get equal texts; a host with one page is read by that page's own structure; an empty
     table gives an empty table.
     """

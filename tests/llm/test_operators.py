@@ -530,6 +530,29 @@ def test_html_edges(spark):
     assert extract_text(df).count() == len(rows) and extract_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("depth", [130, 20_000])
+def test_html_of_any_depth(spark, depth):
+    from staffrank.llm.html_text import extract_text
+
+    rows = [(k, f"http://{'h' if k < 4 else k}/{k}", "<body><nav>menu</nav><article>" + "<div>" * depth + f"<p>deep {k}</p><nav>menu</nav>" + "</div>" * depth
+             + f"<p>last {k}</p></article><footer>foot</footer></body>") for k in range(5)]
+    got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    assert [r.text for r in got.orderBy("page_id").collect()] == [f"deep {k}\nlast {k}" for k in range(5)]
+
+
+def test_html_alignment_is_one_rule_at_all_lengths(monkeypatch):
+    from staffrank.llm import html_text
+
+    rng = random.Random(3)
+    for n, m in [(1, 1), (0, 5), (7, 30), (40, 40), (90, 61), (100, 101)]:
+        xs, ys = ([html_text.Node(rng.choice("abcdefgh") + rng.choice("xy")) for _ in range(k)] for k in (n, m))
+        monkeypatch.setattr(html_text, "WHOLE_TABLE", 1 << 20)
+        whole = html_text.Node("", html_text.align(xs, ys)).pack()
+        monkeypatch.setattr(html_text, "WHOLE_TABLE", -1)
+        assert html_text.Node("", html_text.align(xs, ys)).pack() == whole
+        assert html_text.Node.unpack(whole).pack() == whole
+
+
 def test_html_main_region_is_chosen_by_the_wrapper(spark):
     from staffrank.llm.html_text import extract_text
 
