@@ -72,3 +72,20 @@ def test_state_tables_scan_their_own_facts(spark):
 def test_describe_counts_values_in_one_pass(spark):
     p = plan(QUERIES["j25_describe"](spark, SF_SMALL))
     assert p.count("Exchange") <= 20 and "events.parquet" not in p
+
+
+def test_candidates_move_shifts_and_not_pairs(spark):
+    """The lists of locations meet shifts that are spread over all tasks; nothing is shuffled after it."""
+    p = plan(QUERIES["c4_candidates"](spark, SF_SMALL))
+    assert "REPARTITION_BY_NUM" in p and "Exchange" not in p[: p.index("explode(_list")]
+
+
+def test_many_lists_meet_shifts_by_a_shuffle(spark, monkeypatch):
+    from staffrank.operators import candidates as C
+    from staffrank.sources.tables import testdata_domain as load_domain
+    d = load_domain(spark, SF_SMALL)
+    act = C.user_activity(d.users, d.events)
+    few = C.candidates(d.shifts, act)
+    monkeypatch.setattr(C, "SMALL_LISTS", 0)
+    many = C.candidates(d.shifts, act)
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty() and not few.isEmpty()
