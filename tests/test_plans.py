@@ -80,6 +80,11 @@ def test_candidates_move_shifts_and_not_pairs(spark):
     assert "REPARTITION_BY_NUM" in p and "Exchange" not in p[: p.index("explode(_list")]
 
 
+def test_cascade_moves_shifts_and_not_pairs(spark):
+    p = plan(QUERIES["c7_candidate_cascade"](spark, SF_SMALL))
+    assert "REPARTITION_BY_NUM" in p and "Exchange" not in p[: p.index("explode(_list")]
+
+
 def test_many_lists_meet_shifts_by_a_shuffle(spark, monkeypatch):
     from staffrank.operators import candidates as C
     from staffrank.sources.tables import testdata_domain as load_domain
