@@ -252,5 +252,7 @@ def e1(d):
     state built from the history up to the split time."""
     sp = S.date_split(d.shifts, d.events, SPLIT_T)
     state = E.build_state(d.users, d.shifts, sp.train_events)
-    cands = C.candidates(sp.val_shifts, C.user_activity(d.users, sp.train_events))
-    return E.pair_features(cands, d.shifts, state)
+    act = C.user_activity(d.users, sp.train_events)
+    lists = C.location_lists(sp.val_shifts, act).checkpoint()
+    cands = C.candidates(sp.val_shifts, act, lists=lists)
+    return E.pair_features(cands, d.shifts, state, C.listed_users(lists))
