@@ -41,5 +41,8 @@ def with_unwanted(events: DataFrame, shifts: DataFrame) -> tuple[DataFrame, Data
 
 def with_unscored(cands: DataFrame) -> DataFrame:
     """Also candidates whom no table knows, behind the real ones."""
-    return cands.unionByName(_marked(cands.where(F.col("cand_rank") % 5 == 0), "u", "user_id")
-                             .withColumn("cand_rank", F.col("cand_rank") + 1000))
+    twice = F.explode(F.when(F.col("cand_rank") % 5 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+    new = F.col("_new")
+    return cands.withColumn("_new", twice).withColumns({
+        "user_id": F.when(new, F.concat(F.lit("u"), F.col("user_id"))).otherwise(F.col("user_id")),
+        "cand_rank": F.when(new, F.col("cand_rank") + 1000).otherwise(F.col("cand_rank"))}).drop("_new")

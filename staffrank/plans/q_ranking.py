@@ -21,12 +21,16 @@ RERANK_T = "2024-01-08 00:00:00"
 
 def scored_candidates(d, t: str):
     """C4 candidates of the validation shifts at ``t``, the 26 features from the history up to
-    ``t``, the heuristic score; derived candidates are unknown to the scorer."""
+    ``t``, the heuristic score; derived candidates are unknown to the scorer.  Also the state and
+    the users that the candidates name."""
     sp = S.date_split(d.shifts, d.events, t)
     state = E.build_state(d.users, d.shifts, sp.train_events)
-    cands = C.candidates(sp.val_shifts, C.user_activity(d.users, sp.train_events))
-    scored = H.heuristic_score(E.pair_features(cands, d.shifts, state)).select("shift_id", "user_id", "score")
-    return with_unscored(cands), scored, state, sp
+    act = C.user_activity(d.users, sp.train_events)
+    lists = C.location_lists(sp.val_shifts, act).checkpoint()
+    cands = C.candidates(sp.val_shifts, act, lists=lists)
+    feats = E.pair_features(cands, d.shifts, state, C.listed_users(lists))
+    scored = H.heuristic_score(feats).select("shift_id", "user_id", "score")
+    return with_unscored(cands), scored, state, C.listed_users(with_unscored(lists))
 
 
 RANK_SQL = """,
@@ -74,10 +78,10 @@ reranked AS (
 
 
 def reranked(d):
-    cands, scored, state, sp = scored_candidates(d, RERANK_T)
+    cands, scored, state, users = scored_candidates(d, RERANK_T)
     ranked = H.rank_by_score(cands, scored)
     return H.rerank(ranked.withColumn("prior_rank", F.col("rank")), d.shifts, state.pairs,
-                    state.sleepers)
+                    state.sleepers, among=users)
 
 
 _RR_BLOCKS = feature_blocks(split_sql(f"TIMESTAMP '{RERANK_T}'"))

@@ -103,3 +103,34 @@ def test_target_rates_build_the_pairs_once(spark):
 
 def test_pairs_broadcast_no_table(spark):
     assert "BroadcastExchange" not in plan(QUERIES["j23_target_rate"](spark, SF_SMALL))
+
+
+def pair_exchanges(p: str) -> int:
+    """Shuffles and sort-merge joins above the step that pairs shifts with candidates."""
+    head = p[: p.index("explode(_list")]
+    return sum(s in line for line in head.splitlines() for s in ("Exchange hashpartitioning(user_id", "Exchange hashpartitioning(employer_id", "SortMergeJoin"))
+
+
+@pytest.mark.parametrize("name", ["e1_pair_features", "h1_rank_by_score", "h2_rerank", "h3_top_n"])
+def test_candidate_pairs_stay_with_their_shift(spark, name):
+    p = plan(QUERIES[name](spark, SF_SMALL))
+    assert "explode(_list" in p and pair_exchanges(p) == 0
+    assert p.count("REPARTITION_BY_NUM") == (1 if name[0] == "e" else 2)
+
+
+def test_features_of_listed_users_equal_those_of_all(spark, monkeypatch):
+    from staffrank.operators import candidates as C
+    from staffrank.operators import features as E26
+    from staffrank.sources.tables import testdata_domain as load_domain
+    d = load_domain(spark, SF_SMALL)
+    state = E26.build_state(d.users, d.shifts, d.events)
+    act = C.user_activity(d.users, d.events)
+    lists = C.location_lists(d.shifts, act).checkpoint()
+    cands = C.candidates(d.shifts, act, lists=lists).checkpoint()
+    users = C.listed_users(lists)
+    want = E26.pair_features(cands, d.shifts, state)
+    got = E26.pair_features(cands, d.shifts, state, users)
+    assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty() and not got.isEmpty()
+    monkeypatch.setattr(E26, "SMALL_LISTS", 0)
+    got = E26.pair_features(cands, d.shifts, state, users)
+    assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
