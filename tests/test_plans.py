@@ -134,3 +134,17 @@ def test_features_of_listed_users_equal_those_of_all(spark, monkeypatch):
     monkeypatch.setattr(E26, "SMALL_LISTS", 0)
     got = E26.pair_features(cands, d.shifts, state, users)
     assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
+
+
+def test_rerank_of_listed_users_equals_that_of_all(spark):
+    """The first places of a list whose users have sleepers and applies, derived users included."""
+    from staffrank.operators import ranking as H
+    from staffrank.plans import q_ranking as Q
+    from staffrank.sources.tables import testdata_domain as load_domain
+    d = load_domain(spark, SF_SMALL)
+    cands, scored, state, users = Q.scored_candidates(d, Q.RERANK_T)
+    ranked = H.rank_by_score(cands, scored).checkpoint()
+    want = H.rerank(ranked, d.shifts, state.pairs, state.sleepers).checkpoint()
+    got = H.rerank(ranked, d.shifts, state.pairs, state.sleepers, among=users).checkpoint()
+    assert got.count() == cands.count() and want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
+    assert cands.join(users, "user_id", "left_anti").isEmpty()
