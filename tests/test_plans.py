@@ -148,3 +148,8 @@ def test_rerank_of_listed_users_equals_that_of_all(spark):
     got = H.rerank(ranked, d.shifts, state.pairs, state.sleepers, among=users).checkpoint()
     assert got.count() == cands.count() and want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
     assert cands.join(users, "user_id", "left_anti").isEmpty()
+
+
+def test_scored_pairs_stay_with_their_shift(spark):
+    p = plan(QUERIES["g4_score"](spark, SF_SMALL))
+    assert "explode(_list" in p and pair_exchanges(p) == 0
