@@ -2,6 +2,7 @@
 Parquet scan, capped ranks use the partial window group limit."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
@@ -118,6 +119,21 @@ def test_candidate_pairs_stay_with_their_shift(spark, name):
     assert p.count("REPARTITION_BY_NUM") == (1 if name[0] == "e" else 2)
 
 
+def test_tasks_of_candidate_pairs_fit_their_share_of_memory(spark):
+    """3,000 shifts of 300 candidates each: no task sorts more than a quarter of a million pairs or so."""
+    from staffrank.operators import candidates as C
+    act = spark.range(300).select(F.col("id").cast("string").alias("user_id"), F.lit("a").alias("location_id"), F.lit(1).alias("n_events"))
+    shifts = spark.range(3000).select(F.col("id").cast("string"), F.lit("a").alias("location_id"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        pairs = C.candidates(shifts, act)
+        sizes = [r.n for r in pairs.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sum(sizes) == 900_000 and max(sizes) < 300_000
+
+
 def test_features_of_listed_users_equal_those_of_all(spark, monkeypatch):
     from staffrank.operators import candidates as C
     from staffrank.operators import features as E26
