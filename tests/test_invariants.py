@@ -125,3 +125,6 @@ def test_cascade_reads_no_further_source_when_all_locations_have_users(spark):
     got = {(r.shift_id, r.source): r.n for r in far.groupBy("shift_id", "source").agg(F.count("*").alias("n")).collect()}
     assert got[("s1", "location_cache")] == 10 and got[("s3", "location_cache")] == 10
     assert len({s for s, _ in got}) == len(got)  # one source a shift
+    for mine, cands in ((shifts(("s1", "a", True)), near), (shifts(("s1", "a", True), ("s3", "nowhere", True), ("s4", None, True)), far)):
+        named = C.cascade_users(mine, users, events, C.location_lists(mine, act, 10), 2)
+        assert cands.where("shift_id <> 's2'").join(named, "user_id", "left_anti").isEmpty()

@@ -169,3 +169,11 @@ def test_rerank_of_listed_users_equals_that_of_all(spark):
 def test_scored_pairs_stay_with_their_shift(spark):
     p = plan(QUERIES["g4_score"](spark, SF_SMALL))
     assert "explode(_list" in p and pair_exchanges(p) == 0
+
+
+def test_recommended_pairs_stay_with_their_shift(spark, monkeypatch):
+    """The boosted form as well: pairs meet features, scores and rerank without a shuffle of their own."""
+    from staffrank.operators import boosting as B
+    monkeypatch.setattr(B, "fit", lambda frame, features, *rest, **more: B.BoostedTrees(features, [[] for _ in features], 0.0, [B.Tree()]))
+    p = plan(QUERIES["h6_recommend"](spark, SF_SMALL))
+    assert "explode(_list" in p and pair_exchanges(p) == 0
