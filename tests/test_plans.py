@@ -8,6 +8,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 QUERIES = E.queries()
+BACKTEST_T = "2024-01-28 00:00:00"  # two days of truth follow
 # queries whose DataFrame is built lazily (no action while building)
 LAZY = sorted(n for n in QUERIES if n[0] in "cdehj" and n not in ("j2_schema_diff",)
               or n.startswith(("i1", "i2", "i3", "i4", "i5", "i7", "i10", "b", "f1_", "f2", "f3",
@@ -177,3 +178,28 @@ def test_recommended_pairs_stay_with_their_shift(spark, monkeypatch):
     monkeypatch.setattr(B, "fit", lambda frame, features, *rest, **more: B.BoostedTrees(features, [[] for _ in features], 0.0, [B.Tree()]))
     p = plan(QUERIES["h6_recommend"](spark, SF_SMALL))
     assert "explode(_list" in p and pair_exchanges(p) == 0
+
+
+def test_backtest_makes_the_next_days_frame_beside_the_training(spark, monkeypatch):
+    """A fit does not hold up the loading of the next day, and a day's pairs stay with their shift."""
+    from threading import Semaphore
+
+    from staffrank.operators import backtest as BT
+    from staffrank.sources.tables import testdata_domain as load_domain
+    d, begun, plans, fits = load_domain(spark, SF_SMALL), Semaphore(0), [], []
+    pairs, top = BT.L.labelled_pairs, BT.H.top_n
+    days = BT.eval_days(BT.S.ground_truth(d.events, BT.S.date_split(d.shifts, d.events, BACKTEST_T).val_shifts))
+
+    def fit(frame, features, **more):
+        assert begun.acquire(timeout=60)  # this frame's pairs
+        fits.append(len(fits) + 1 == len(days) or begun.acquire(timeout=60))  # the next one's
+        begun.release()
+        return BT.BoostedTrees(features, [[] for _ in features], 0.0, [BT.boosting.Tree()])
+
+    monkeypatch.setattr(BT.L, "labelled_pairs", lambda *a: (begun.release(), pairs(*a))[1])
+    monkeypatch.setattr(BT.H, "top_n", lambda ranked, n: (plans.append(plan(ranked)), top(ranked, n))[1])
+    monkeypatch.setattr(BT.boosting, "fit", fit)
+    rows = BT.model_backtest(d.users, d.shifts, d.events, BACKTEST_T).collect()
+    assert [r.eval_date for r in rows] == days and len(days) > 1
+    assert all(fits) and len(fits) == len(plans) == len(days)
+    assert all("explode(_list" in p and pair_exchanges(p) == 0 for p in plans)
