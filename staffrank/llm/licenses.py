@@ -1,7 +1,7 @@
 """License scans: a sparse logistic regression on word n-grams over paragraphs, in DataFrame code.
 
 * features are word n-grams (one to three words) around *marker* words of notices; a paragraph
-  without a marker has no feature and is no notice, so most text is settled by substring tests;
+  without a marker has no feature and is no notice, so most text is settled by one pattern;
 * the model is trained by Spark ML on a small table of notices (:data:`TEMPLATES` under the rule of
   :func:`training_rows`); an elastic net leaves most weights at zero.  It is a literal map of a few
   hundred n-grams in the scan, which is one projection over the documents: no join and no shuffle;
@@ -120,6 +120,19 @@ def training_rows() -> list[tuple[str, str, bool]]:
     return rows
 
 
+def _marker_words() -> str:
+    """Matches a lower-cased text one of whose words is a marker; grouped by first letters, as most words fail there."""
+    rest = {}
+    for m in MARKERS:
+        rest.setdefault(m[0], []).append(m[1:])
+    return "(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(r)})" for c, r in rest.items()) + ")(?![a-z0-9])"
+
+
+def _marked(text: Column) -> Column:
+    """Whether a word is a marker: other lines have no feature and are no part of a header, so they are no notices."""
+    return F.lower(text).rlike(_marker_words())
+
+
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), _SEPARATOR), lambda w: w != "")
 
@@ -260,8 +273,7 @@ def scan(docs: DataFrame, model: LicenseModel | None = None) -> DataFrame:
     raw = F.col(raw_lines)
     lines = F.filter(F.transform(raw, lambda x, at: F.struct(x.alias("x"), at.alias("at"))), lambda s: s["x"].rlike(r"[^\x20\x09-\x0D]"))
     docs = docs.withColumn(paragraphs, lines)
-    marked = lambda x: F.coalesce(*[F.when(F.lower(x).contains(m), True) for m in MARKERS], F.lit(False))
-    numbered = F.filter(F.transform(paragraphs, lambda x, i: F.when(marked(x["x"]), F.struct(x["x"].alias("x"), i.alias("i"), x["at"].alias("at")))), lambda s: s.isNotNull())
+    numbered = F.filter(F.transform(paragraphs, lambda x, i: F.when(_marked(x["x"]), F.struct(x["x"].alias("x"), i.alias("i"), x["at"].alias("at")))), lambda s: s.isNotNull())
     docs = docs.withColumn(candidates, numbered)
     judged = F.filter(F.transform(candidates, lambda s: model.judge(s["x"], s["i"], _around(raw, s["at"]))), lambda n: n["family"] != NONE)
     docs = docs.withColumn("notices", judged).withColumn("n_paragraphs", F.size(paragraphs).cast("long"))

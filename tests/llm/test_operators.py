@@ -620,3 +620,16 @@ def test_pipeline_stages_on_edges(spark, edge):
 def test_digests_are_lowercase_hex(spark):
     first = query(spark, "op5_byte_bpe").first()
     assert first.decoded_sha256 == first.decoded_sha256.lower() and len(first.ids_sha256) == len(hashlib.sha256().hexdigest())
+
+
+def test_lines_are_candidates_by_whole_marker_words(spark):
+    """A line is judged if one of its words is a marker, not if its letters hold one; one pattern finds it."""
+    from staffrank.llm.licenses import MARKERS, _marked
+
+    said = ["success on account", "CC BY", "cc0", "accredited", "The MIT License.", "relicensed", "un-licensed", "domain", "domains", "é©cc", "ccé",
+            "cc_by", "Lizenziert!", "unlicense", "", "Bsd-like", "x", "copyrights", "ⅭC", "Ksd gnu", "gnu1", "1gnu", "all rights"]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(said)], "i int, x string").select("x", _marked(F.col("x")).alias("got"))
+    for r in rows.collect():
+        assert r.got == any(w in MARKERS for w in re.split("[^a-z0-9]+", r.x.lower())), r.x
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") <= 1
