@@ -203,3 +203,25 @@ def test_backtest_makes_the_next_days_frame_beside_the_training(spark, monkeypat
     assert [r.eval_date for r in rows] == days and len(days) > 1
     assert all(fits) and len(fits) == len(plans) == len(days)
     assert all("explode(_list" in p and pair_exchanges(p) == 0 for p in plans)
+
+
+def test_backtest_makes_two_frames_ahead_of_the_training(spark, monkeypatch):
+    """A fit does not hold up the frames of the two days after it."""
+    from threading import Semaphore
+
+    from staffrank.operators import backtest as BT
+    from staffrank.sources.tables import testdata_domain as load_domain
+    d, begun, fits = load_domain(spark, SF_SMALL), Semaphore(0), []
+    pairs, split = BT.L.labelled_pairs, "2024-01-26 23:59:59"
+    days = BT.eval_days(BT.S.ground_truth(d.events, BT.S.date_split(d.shifts, d.events, split).val_shifts))
+    assert len(days) >= 3
+
+    def fit(frame, features, **more):
+        if not fits:
+            fits.append(all(begun.acquire(timeout=60) for _ in range(3)))
+        return BT.BoostedTrees(features, [[] for _ in features], 0.0, [BT.boosting.Tree()])
+
+    monkeypatch.setattr(BT.L, "labelled_pairs", lambda *a: (begun.release(), pairs(*a))[1])
+    monkeypatch.setattr(BT.boosting, "fit", fit)
+    assert BT.model_backtest(d.users, d.shifts, d.events, split).count() == len(days)
+    assert fits == [True]
